@@ -115,14 +115,34 @@ def _sales_by_quantity(sales: DataFrame) -> DataFrame:
     everything else the summary needs is a sum or a count. A key that holds a
     third of all rows leaves each map task as a handful of rows.
     """
+    amount = _number(sales, "sales_amt")
     return sales.groupBy(*FACT_KEYS, "sales_qty").agg(
         F.count(F.lit(1)).alias("sale_rows"),
-        F.sum(_number(sales, "sales_amt")).alias("amount"),
-        F.count(_number(sales, "sales_amt")).alias("amount_rows"),
+        F.sum(amount).alias("amount"),
+        F.count(amount).alias("amount_rows"),
         F.sum(_number(sales, "sales_cost")).alias("cost"),
     )
 
 
+def _readings_by_level(inventory: DataFrame) -> DataFrame:
+    """Readings of one product, store and day with equal on-hand quantity, folded into one.
+
+    Proper inventory has one reading per key. Should a key repeat, the join
+    meets its distinct levels only, not every pair of rows.
+    """
+    flag = F.col("out_of_stock_flg").try_cast("int")
+    return (
+        _readings(inventory)
+        .groupBy(*FACT_KEYS, "inventory_on_hand_qty")
+        .agg(
+            F.count(F.lit(1)).alias("reading_rows"),
+            F.sum(_number(inventory, "inventory_on_order_qty")).alias("on_order"),
+            F.sum(flag).alias("out_flags"),
+            F.count_if(flag == 1).alias("out_rows"),
+        )
+    )
+
+
 def weekly_summary(
     sales: DataFrame,
     inventory: DataFrame,
@@ -133,42 +153,53 @@ def weekly_summary(
     """Sales, end-of-week stock and stock-out impact per week, store and product.
 
     Equal to flagging the daily fact and aggregating it, but no fact row is
-    ever shuffled: sales are folded by quantity first, each folded row carries
-    its row count as weight, and the last day of the week is chosen after the
+    ever built: both sides are folded by quantity first and carry their row
+    counts as weights, and the last day of the week is chosen after the
     aggregation from seven sums, one per day. Hence no window, no second pass
     over the join and a single shuffle behind it.
     """
-    folded = _sales_by_quantity(sales)
-    fact = daily_fact(folded, inventory)
-
-    rows = F.col("sale_rows")
-    on_hand = _number(fact, "inventory_on_hand_qty")
-    on_order = _number(fact, "inventory_on_order_qty")
-    out = F.col("out_of_stock_flg").try_cast("int")
-    low = F.col("low_stock_flg")
-    rank = F.col("closing_rank")
-
-    fact = fact.withColumns(
-        {
-            "low_stock_flg": low_stock(compare_as_text),
-            "wk_timestamp": week_start(F.col("trans_dt")),
-            "closing_rank": closing_rank(F.col("trans_dt"), week_end),
-        }
+    fact = _readings_by_level(inventory).join(
+        _sales_by_quantity(sales), list(FACT_KEYS), "inner"
     )
+    on_hand = _number(fact, "inventory_on_hand_qty")
+    low = F.col("low_stock_flg") == 1
+    amount, readings = F.col("amount"), F.col("reading_rows")
+    fact = fact.select(
+        "store_key",
+        "prod_key",
+        "sale_rows",
+        week_start(F.col("trans_dt")).alias("wk_timestamp"),
+        closing_rank(F.col("trans_dt"), week_end).alias("rank"),
+        low_stock(compare_as_text).alias("low_stock_flg"),
+        (F.col("sale_rows") * readings).alias("fact_rows"),
+        _number(fact, "sales_qty").alias("qty"),
+        on_hand.alias("on_hand"),
+        (F.col("on_order") * F.col("sale_rows")).alias("on_order"),
+        (F.col("out_flags") * F.col("sale_rows")).alias("out_flags"),
+        (amount * readings).alias("amount"),
+        (F.col("amount_rows") * readings).alias("amount_rows"),
+        (F.col("cost") * readings).alias("cost"),
+        # Amounts of out-of-stock rows; 0 for the others, so null only if there are no others.
+        F.when(F.col("out_rows") == readings, amount * readings)
+        .otherwise(F.coalesce(amount * F.col("out_rows"), F.lit(0)))
+        .alias("amount_out"),
+    ).withColumn("on_hand_units", F.col("on_hand") * F.col("fact_rows"))
+
+    rank, rows = F.col("rank"), F.col("fact_rows")
     grouped = fact.groupBy(*WEEK_KEYS).agg(
-        F.sum(_number(fact, "sales_qty") * rows).alias("qty"),
+        F.sum(F.col("qty") * rows).alias("qty"),
         F.sum("amount").alias("amount"),
         F.sum("cost").alias("cost"),
-        F.sum(out * rows).alias("no_stock_instances"),
-        F.sum(low * rows).alias("low_stock_instances"),
+        F.sum("out_flags").alias("no_stock_instances"),
+        F.sum(F.col("low_stock_flg") * rows).alias("low_stock_instances"),
         F.sum(
-            F.when(low == 1, F.col("amount") - on_hand * F.col("amount_rows")).otherwise(0)
+            F.when(low, F.col("amount") - F.col("on_hand") * F.col("amount_rows")).otherwise(0)
         ).alias("low_impact"),
-        F.sum(F.when(out == 1, F.col("amount")).otherwise(0)).alias("no_impact"),
+        F.sum("amount_out").alias("no_impact"),
         F.min(rank).alias("first_rank"),
         F.max(rank).alias("last_rank"),
-        *[F.sum(F.when(rank == d, on_hand * rows)).alias(f"on_hand_{d}") for d in _DAYS],
-        *[F.sum(F.when(rank == d, on_order * rows)).alias(f"on_order_{d}") for d in _DAYS],
+        *[F.sum(F.when(rank == d, F.col("on_hand_units"))).alias(f"on_hand_{d}") for d in _DAYS],
+        *[F.sum(F.when(rank == d, F.col("on_order"))).alias(f"on_order_{d}") for d in _DAYS],
     )
 
     def closing(prefix: str) -> Column:

@@ -335,10 +335,21 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN station_year <> '1997' THEN quality END AS "Data Quality"
         FROM climate""",
     "union_csv_with_index": f"""WITH{_CLIMATE},
-        per_year AS (SELECT station_year, count(*) AS n FROM climate GROUP BY station_year)
-        SELECT station_year, CAST(sum(n) OVER up_to - n AS BIGINT) AS first_index,
-               CAST(sum(n) OVER up_to - 1 AS BIGINT) AS last_index, n AS rows_of_year
-        FROM per_year WINDOW up_to AS (ORDER BY station_year)""",
+        placed AS (
+          SELECT CASE WHEN station_year = '1997' THEN '1997'
+                      WHEN CAST(station_year AS INTEGER) % 2 = 1 THEN 'odd' ELSE 'even' END
+                   AS layout, date_text
+          FROM climate
+        ),
+        per_layout AS (
+          SELECT layout, count(*) AS n, count(DISTINCT date_text) AS distinct_dates,
+                 CASE layout WHEN 'odd' THEN 1 WHEN '1997' THEN 2 ELSE 3 END AS place
+          FROM placed GROUP BY layout
+        )
+        SELECT layout, CAST(sum(n) OVER up_to - n AS BIGINT) AS first_index,
+               CAST(sum(n) OVER up_to - 1 AS BIGINT) AS last_index, n AS distinct_indexes,
+               distinct_dates
+        FROM per_layout WINDOW up_to AS (ORDER BY place)""",
     "scan_landing_csv": f"""WITH{_INVENTORY}
         SELECT cal_dt, store_key, prod_key, inventory_on_hand_qty, inventory_on_order_qty,
                out_of_stock_flg

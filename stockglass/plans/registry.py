@@ -258,35 +258,41 @@ def climate_stream_load(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _write_station_set(spark: SparkSession, sf: str) -> str:
-    """Yearly folders of files: columns reversed in even years, no quality in 1997."""
+    """Files with three headers: plain in odd years, without quality in 1997, else reversed."""
     base = scratch_dir(spark, "stations")
-    rows = st.climate(spark, sf)
-    for year in YEARS:
-        names = [c for c in rows.columns if year != 1997 or c != "Data Quality"]
-        if year % 2 == 0:
-            names.reverse()
-        part = rows.where(column(STATION_YEAR) == str(year))
-        _write_csv(part.select(*[column(c) for c in names]), f"{base}/{year}")
+    st.climate(spark, sf).write.parquet(f"{base}-rows")
+    rows = spark.read.parquet(f"{base}-rows")
+    year, names = column(STATION_YEAR).cast("int"), rows.columns
+    layouts = {
+        "a_odd": (names, (year % 2 == 1) & (year != 1997)),
+        "b_1997": ([c for c in names if c != "Data Quality"], year == 1997),
+        "c_even": (names[::-1], year % 2 == 0),
+    }
+    for folder, (header, wanted) in layouts.items():
+        _write_csv(rows.where(wanted).select(*[column(c) for c in header]), f"{base}/{folder}")
     return f"{base}/*/*.csv"
 
 
 def union_csv_by_name(spark: SparkSession, sf: str) -> DataFrame:
-    """Yearly files combined into one CSV table, read back."""
+    """Files of different headers combined into one CSV table, read back."""
     target = scratch_dir(spark, "combined")
     combine_stations(spark, _write_station_set(spark, sf), target)
     return read_csv_set(spark, f"{target}/*.csv", missing=())
 
 
 def union_csv_with_index(spark: SparkSession, sf: str) -> DataFrame:
-    """The row numbers and, beside them, how the rows spread over the years."""
+    """How the row numbers spread over the three kinds of files, in the order of their paths."""
     files = _write_station_set(spark, sf)
     rows = combine.with_row_index(
         read_csv_set(spark, files, missing=(), with_split=True), SPLIT_KEYS
     )
-    return rows.groupBy(column(STATION_YEAR).alias("station_year")).agg(
+    year = column(STATION_YEAR).cast("int")
+    layout = F.when(year == 1997, "1997").when(year % 2 == 1, "odd").otherwise("even")
+    return rows.groupBy(layout.alias("layout")).agg(
         F.min("row_index").alias("first_index"),
         F.max("row_index").alias("last_index"),
-        F.count_distinct("row_index").alias("rows_of_year"),
+        F.count_distinct("row_index").alias("distinct_indexes"),
+        F.count_distinct(column(STATION_DATE)).alias("distinct_dates"),
     )
 
 
@@ -338,15 +344,10 @@ def landing_file_sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def publish_archive(spark: SparkSession, sf: str) -> DataFrame:
-    """Two days archived, one of them again; both partitions read back."""
+    """Two days archived, read back as one partitioned table."""
     archive = scratch_dir(spark, "archive")
-    summary = weekly_inventory_summary(spark, sf)
-    path = publish.publish_archive(summary, archive, RUN_DATE, files=4)
-    first = spark.read.parquet(path)
-    publish.publish_archive(first, archive, "2002-01-02", files=4)
-    publish.publish_archive(
-        spark.read.parquet(publish.archive_path(archive, RUN_DATE)), archive, "2002-01-02", files=4
-    )
+    path = publish.publish_archive(weekly_inventory_summary(spark, sf), archive, RUN_DATE, files=4)
+    publish.publish_archive(spark.read.parquet(path), archive, "2002-01-02", files=4)
     return spark.read.parquet(archive)
 
 
