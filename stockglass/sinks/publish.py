@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from stockglass.schemas import DIMENSION_TABLES
-from stockglass.sources.landing import landing_path
+from stockglass.sources.landing import landing_path, read_landing
 
 SUMMARY = "weekly_summary"
 
@@ -61,7 +61,7 @@ def publish_dimensions(
     ``{archive}/{table}_{date}.csv`` and ``{result}/{table}.csv``."""
     written = {}
     for table in tables:
-        rows = spark.read.option("header", True).csv(landing_path(landing, table, date))
+        rows = read_landing(spark, landing, table, date)
         targets = (
             landing_path(archive, table, date),
             f"{result.rstrip('/')}/{table}.csv",

@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from stockglass.functions.names import column
+
 
 def landing_path(base: str, table: str, date: str) -> str:
     return f"{base.rstrip('/')}/{table}_{date}.csv"
@@ -18,16 +20,19 @@ def read_landing(
     date: str,
     schema: StructType | None = None,
 ) -> DataFrame:
-    """One day's extract: comma separated, with a header line.
+    """One day's extract: comma separated, with a header line. Columns go by name.
 
-    Fields are assigned by position, as the schema lists them, so Spark checks
-    the header against the schema and stops on a difference. Without a schema
-    the header names the columns and every value stays text.
+    With a schema its columns are picked and converted; a value that does not
+    fit its type becomes null. Without one all columns come as text. An extract
+    of several files must have the same header in each, which Spark checks.
     """
+    path = landing_path(base, table, date)
     reader = spark.read.option("header", True).option("sep", ",")
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(landing_path(base, table, date))
+    header = reader.csv(path).schema
+    rows = reader.schema(header).option("enforceSchema", False).csv(path)
+    if schema is None:
+        return rows
+    return rows.select(*[column(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 _LISTING = "path string, length bigint, modificationTime timestamp"

@@ -1,0 +1,272 @@
+"""The weekly summary: odd formulas by hand, and equality with the plain window form."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import Window, functions as F
+
+from stockglass.functions.weeks import DATE
+from stockglass.operators import retail
+from stockglass.schemas import INVENTORY, SALES, WEEK_KEYS, WEEKLY_MEASURES, as_text
+from tests.plans import final_plan, initial_plan
+
+
+def day(text):
+    return dt.date.fromisoformat(text)
+
+
+def sales_of(spark, rows):
+    """rows: (date, store, product, quantity, amount)"""
+    return spark.createDataFrame(
+        [
+            (i, day(d), s, p, q and Decimal(q), a and Decimal(a), a and Decimal(a), Decimal(0))
+            for i, (d, s, p, q, a) in enumerate(rows)
+        ],
+        SALES,
+    )
+
+
+def inventory_of(spark, rows):
+    """rows: (date, store, product, on hand, on order, out of stock)"""
+    return spark.createDataFrame(
+        [
+            (day(d), s, p, h and Decimal(h), o and Decimal(o), f)
+            for d, s, p, h, o, f in rows
+        ],
+        INVENTORY,
+    )
+
+
+def one(df):
+    (row,) = df.collect()
+    return row
+
+
+def reference_form(sales, inventory, week_end="day_of_week"):
+    """The summary as one would write it down: join, flags, window, aggregation."""
+    fact = retail.with_calendar(
+        retail.with_low_stock_flag(retail.daily_fact(sales, inventory))
+    )
+    rank = F.col("day_of_week") if week_end == "day_of_week" else F.col("trans_dt")
+    last = F.max(rank).over(Window.partitionBy(*WEEK_KEYS))
+    fact = fact.withColumn("last", rank == last)
+    low, out = F.col("low_stock_flg"), F.col("out_of_stock_flg")
+    d = lambda c: c.cast("double")
+    on_hand = F.sum(F.when(F.col("last"), F.col("inventory_on_hand_qty")).otherwise(0))
+    on_order = F.sum(F.when(F.col("last"), F.col("inventory_on_order_qty")).otherwise(0))
+    impact = F.sum(
+        F.when(low == 1, F.col("sales_amt") - F.col("inventory_on_hand_qty")).otherwise(0)
+    )
+    return fact.groupBy(*WEEK_KEYS).agg(
+        d(F.sum("sales_qty")).alias("total_sales_qty"),
+        d(F.sum("sales_amt")).alias("total_sales_amount"),
+        F.try_divide(d(F.sum("sales_amt")), d(F.sum("sales_qty"))).alias("avg_sales_price"),
+        d(F.sum("sales_cost")).alias("total_sales_cost"),
+        d(on_hand).alias("stock_level_EOW"),
+        d(on_order).alias("order_level_EOW"),
+        (F.sum(out) / 7).alias("percent_in_stock"),
+        (F.sum(out) + F.sum(low)).alias("total_low_stock_impact"),
+        d(impact).alias("potential_low_stock_impact"),
+        d(F.sum(F.when(out == 1, F.col("sales_amt")).otherwise(0))).alias("no_stock_impact"),
+        F.sum(low).alias("low_stock_instances"),
+        F.sum(out).alias("no_stock_instances"),
+        F.try_divide(d(on_hand), d(F.sum("sales_qty"))).alias("weeks_on_hand_stock_can_supply"),
+    )
+
+
+def random_tables(spark, rows=3000, seed=7):
+    """Few keys, so that days repeat on both sides; nulls everywhere; one key has a third of all."""
+    r = lambda i: F.rand(seed + i)
+    hot = r(0) < 0.33
+    base = spark.range(rows).select(
+        F.col("id").alias("trans_id"),
+        F.when(hot, F.lit("2023-05-06").cast("date"))
+        .otherwise(F.date_add(F.lit("2023-05-01").cast("date"), (r(1) * 16).cast("int")))
+        .alias("trans_dt"),
+        F.when(hot, 1).otherwise((r(2) * 4).cast("bigint")).alias("store_key"),
+        F.when(hot, 1).otherwise(F.when(r(3) > 0.03, (r(4) * 5).cast("bigint"))).alias("prod_key"),
+    )
+    sales = base.select(
+        "*",
+        F.when(r(5) > 0.1, (r(6) * 30).cast("decimal(12,2)")).alias("sales_qty"),
+        F.when(r(7) > 0.1, (r(8) * 900).cast("decimal(18,4)")).alias("sales_amt"),
+        F.when(r(9) > 0.1, (r(10) * 700).cast("decimal(18,4)")).alias("sales_cost"),
+        F.lit(0).cast("decimal(6,4)").alias("discount"),
+    )
+    inventory = base.where("trans_id % 9 = 0").select(
+        F.col("trans_dt").alias("cal_dt"),
+        "store_key",
+        "prod_key",
+        F.when(r(11) > 0.3, (r(12) * 20).cast("int").cast("decimal(12,2)")).alias(
+            "inventory_on_hand_qty"
+        ),
+        F.when(r(13) > 0.3, (r(14) * 20).cast("decimal(12,2)")).alias("inventory_on_order_qty"),
+        F.when(r(15) > 0.2, (r(16) * 2).cast("int")).alias("out_of_stock_flg"),
+    )
+    # Fixed once, since rand() must not be drawn again for each use.
+    sales_rows, inventory_rows = sales.collect(), inventory.collect()
+    return (
+        spark.createDataFrame(sales_rows, SALES),
+        spark.createDataFrame(inventory_rows, INVENTORY),
+    )
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return random_tables(spark)
+
+
+@pytest.mark.parametrize("week_end", ["day_of_week", "date"])
+def test_equals_window_form_with_nulls_repeats_and_a_hot_key(tables, week_end):
+    sales, inventory = tables
+    got = retail.weekly_summary(sales, inventory, week_end=week_end)
+    wanted = reference_form(sales, inventory, week_end).select(*got.columns)
+    assert got.columns == [*WEEK_KEYS, *WEEKLY_MEASURES]
+    key = lambda r: (r.wk_timestamp, r.store_key, r.prod_key)
+    got_rows, wanted_rows = sorted(got.collect(), key=key), sorted(wanted.collect(), key=key)
+    assert len(got_rows) > 20
+    assert got_rows == wanted_rows
+
+
+def test_sparse_groups_keep_nulls(spark):
+    """Weeks of a single day whose readings, amounts or flags are all null."""
+    sales = sales_of(
+        spark,
+        [("2023-05-03", 1, 1, "1", None), ("2023-05-03", 1, 2, None, "5"), ("2023-05-04", 1, 2, "2", None)],
+    )
+    inventory = inventory_of(
+        spark,
+        [
+            ("2023-05-03", 1, 1, "9", None, 1),
+            ("2023-05-03", 1, 2, "3", "4", None),
+            ("2023-05-04", 1, 2, None, None, None),
+        ],
+    )
+    got = {r.prod_key: r for r in retail.weekly_summary(sales, inventory).collect()}
+    wanted = {r.prod_key: r for r in reference_form(sales, inventory).collect()}
+    for product in (1, 2):
+        for measure in WEEKLY_MEASURES:
+            assert got[product][measure] == wanted[product][measure], (product, measure)
+    assert got[1].order_level_EOW is None and got[1].potential_low_stock_impact is None
+    assert got[2].stock_level_EOW == 0.0
+
+
+def test_low_stock_compares_numbers_or_text(spark):
+    df = spark.createDataFrame(
+        [("9", "10"), ("100", "20"), (None, "5"), ("5", None)],
+        "sales_qty string, inventory_on_hand_qty string",
+    )
+    numbers = df.select(*[F.col(c).cast("decimal(12,2)").alias(c) for c in df.columns])
+    flags = [r.low_stock_flg for r in retail.with_low_stock_flag(numbers).collect()]
+    assert flags == [1, 0, 0, 0]
+    flags = [r.low_stock_flg for r in retail.with_low_stock_flag(df, compare_as_text=True).collect()]
+    assert flags == [0, 1, 0, 0]
+
+
+def test_text_tables_compare_as_text_and_sum_as_numbers(spark):
+    sales = spark.createDataFrame(
+        [("1", "2023-05-05", "0200", "7", "100", "90.5", "80", "0"), ("2", "2023-05-05", "0200", "7", "9", "x", "1", "0")],
+        as_text(SALES),
+    )
+    inventory = spark.createDataFrame([("2023-05-05", "0200", "7", "20", "3", "1")], as_text(INVENTORY))
+    row = one(retail.weekly_summary(sales, inventory, compare_as_text=True))
+    assert row.store_key == "0200"
+    assert row.low_stock_instances == 1  # '100' < '20', but not '9' < '20'
+    assert (row.total_sales_qty, row.total_sales_amount) == (109.0, 90.5)
+    assert (row.stock_level_EOW, row.no_stock_impact) == (40.0, 90.5)
+
+
+def test_saturday_outranks_sunday(spark):
+    days = ["2023-05-05", "2023-05-06", "2023-05-07"]
+    sales = sales_of(spark, [(d, 1, 1, "1", "1") for d in days])
+    inventory = inventory_of(spark, [(d, 1, 1, h, "0", 0) for d, h in zip(days, ["5", "6", "7"])])
+    assert one(retail.weekly_summary(sales, inventory)).stock_level_EOW == 6.0
+    assert one(retail.weekly_summary(sales, inventory, week_end=DATE)).stock_level_EOW == 7.0
+    for week_end, last in [("day_of_week", days[1]), ("date", days[2])]:
+        flagged = retail.flag_last_of_week(sales, inventory, week_end).where("last_inv_for_week_flag")
+        assert one(flagged).trans_dt == day(last)
+    with pytest.raises(ValueError):
+        retail.weekly_summary(sales, inventory, week_end="month")
+
+
+def test_levels_multiply_with_transactions(spark):
+    sales = sales_of(spark, [("2023-05-05", 1, 1, "1", "1"), ("2023-05-05", 1, 1, "2", "1")])
+    row = one(retail.weekly_summary(sales, inventory_of(spark, [("2023-05-05", 1, 1, "10", "4", 1)])))
+    assert (row.stock_level_EOW, row.order_level_EOW) == (20.0, 8.0)
+    assert row.percent_in_stock == pytest.approx(2 / 7)
+
+
+def test_zero_quantity_gives_null_ratios(spark):
+    sales = sales_of(spark, [("2023-05-05", 1, 1, "0", "1"), ("2023-05-05", 1, 1, "0", "2")])
+    row = one(retail.weekly_summary(sales, inventory_of(spark, [("2023-05-05", 1, 1, "10", "4", 0)])))
+    assert row.avg_sales_price is None and row.weeks_on_hand_stock_can_supply is None
+
+
+def test_fractional_amount_of_an_out_of_stock_row(spark):
+    sales = sales_of(spark, [("2023-05-05", 1, 1, "1", "90.5")])
+    row = one(retail.weekly_summary(sales, inventory_of(spark, [("2023-05-05", 1, 1, "0", "0", 1)])))
+    assert row.no_stock_impact == 90.5
+
+
+def test_join_drops_what_has_no_partner(spark):
+    sales = sales_of(spark, [("2023-05-05", 1, 1, "1", "1"), ("2023-05-06", 1, 1, "1", "1")])
+    inventory = inventory_of(
+        spark, [("2023-05-05", 1, 1, "3", "0", 0), ("2023-05-08", 1, 1, "3", "0", 0)]
+    )
+    fact = retail.daily_fact(sales, inventory)
+    assert one(fact).trans_dt == day("2023-05-05")
+    assert fact.columns.count("prod_key") == 1
+
+
+def test_totals_of_fact_and_summary_agree(tables):
+    sales, inventory = tables
+    fact = retail.with_low_stock_flag(retail.daily_fact(sales, inventory))
+    f = one(fact.agg(F.sum("low_stock_flg").alias("low"), F.sum("out_of_stock_flg").alias("out")))
+    s = one(
+        retail.weekly_summary(sales, inventory).agg(
+            F.sum("low_stock_instances").alias("low"), F.sum("no_stock_instances").alias("out")
+        )
+    )
+    assert (f.low, f.out) == (s.low, s.out)
+
+
+def test_flag_equals_window_form(tables):
+    sales, inventory = tables
+    got = retail.flag_last_of_week(sales, inventory)
+    fact = retail.with_calendar(retail.daily_fact(sales, inventory))
+    last = F.max("day_of_week").over(Window.partitionBy(*WEEK_KEYS))
+    wanted = fact.withColumn("last_inv_for_week_flag", F.col("day_of_week") == last)
+    columns = ["trans_id", "inventory_on_hand_qty", "inventory_on_order_qty", "last_inv_for_week_flag"]
+    key = lambda r: str(tuple(r))
+    assert sorted(got.select(columns).collect(), key=key) == sorted(
+        wanted.select(columns).collect(), key=key
+    )
+
+
+def test_summary_plan_has_no_window_and_hashes(tables):
+    plan = initial_plan(retail.weekly_summary(*tables))
+    assert "Window" not in plan and "SortAggregate" not in plan
+    levels = initial_plan(retail.eow_levels(retail.weekly_summary(*tables)))
+    assert "sales_amt" not in levels.split("HashAggregate")[1]
+
+
+def test_hot_fact_key_is_split(spark, tables):
+    sales, inventory = tables
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        rows = retail.daily_fact(sales.repartition(8), inventory)
+        assert "skew=true" in final_plan(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
