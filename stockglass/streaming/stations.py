@@ -12,22 +12,26 @@ from stockglass.plans.stations import load_stations
 from stockglass.sources.csv_set import ARRIVAL, file_arrival, row_arrival
 
 
-def station_stream(spark: SparkSession, source: str, columns: Sequence[str]) -> DataFrame:
+def station_stream(
+    spark: SparkSession, source: str, columns: Sequence[str], files_per_batch: int | None = None
+) -> DataFrame:
     """Rows of the files arriving in ``source``, which all have the header ``columns``.
 
     A stream has one schema and goes by position, so each file's header is
     checked against it; a file with another header stops the stream.
+    ``files_per_batch`` bounds a batch, which matters for a long backlog.
     """
-    return (
+    reader = (
         spark.readStream.schema(
             T.StructType([T.StructField(c, T.StringType()) for c in columns])
         )
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
-        .csv(source)
-        .withColumn(ARRIVAL, file_arrival())
     )
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.csv(source).withColumn(ARRIVAL, file_arrival())
 
 
 def start_station_load(
@@ -40,6 +44,7 @@ def start_station_load(
     *,
     rejects_path: str | None = None,
     first_batch_id: int = 0,
+    files_per_batch: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Upserts the wanted years of every arriving file into the item log.
@@ -54,7 +59,7 @@ def start_station_load(
         load_stations(rows, years, items_path, first_batch_id + batch_number, rejects_path)
 
     writer = (
-        station_stream(spark, source, columns)
+        station_stream(spark, source, columns, files_per_batch)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
     )

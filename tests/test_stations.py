@@ -2,6 +2,7 @@
 
 import csv
 import datetime as dt
+import os
 from pathlib import Path
 
 import pytest
@@ -234,6 +235,20 @@ def test_stream_loads_new_files_once(spark, tmp_path):
     assert run() and log.read_log(spark, path).select("batch_id").distinct().count() == batches == 2
 
 
+def test_stream_splits_a_backlog_and_the_later_batch_wins(spark, tmp_path):
+    source, path = tmp_path / "in", str(tmp_path / "items")
+    for i in range(3):
+        put(source, f"{i}.csv", ["2020", "1/1/20", str(i), ""], ["2020", f"1/{i + 2}/20", "x", ""])
+        os.utime(source / f"{i}.csv", (1_600_000_000 + i, 1_600_000_000 + i))
+    start_station_load(
+        spark, str(source), HEADER, 2020, path, str(tmp_path / "state"), files_per_batch=1, first_batch_id=5
+    ).awaitTermination()
+    batches = {r.batch_id for r in log.read_log(spark, path).select("batch_id").collect()}
+    assert batches == {5, 6, 7}
+    items = items_of(log.read_items(spark, path))
+    assert len(items) == 4 and items["2020", "2020-01-01"] == {"max-temp-c": "2"}
+
+
 def test_stream_stops_at_another_header(spark, tmp_path):
     put(tmp_path / "in", "a.csv", ["1", "2020", "1/1/20", "q"], header=["Max Temp (°C)", "Year", "Date/Time", "Data Quality"])
     query = start_station_load(
