@@ -25,16 +25,40 @@ def _readings(inventory: DataFrame) -> DataFrame:
     return inventory.withColumnRenamed("cal_dt", "trans_dt")
 
 
-def daily_fact(sales: DataFrame, inventory: DataFrame) -> DataFrame:
+def daily_fact(
+    sales: DataFrame, inventory: DataFrame, *, split_hot_keys: bool = True
+) -> DataFrame:
     """Every sales row beside the inventory reading of its product, store and day.
 
     An inner join: readings without a sale and sales without a reading drop
-    out. No hint is given, so that Spark broadcasts a small side, sorts and
-    merges large ones, and splits a hot key at run time (AQE skew join).
+    out. No hint is given, so Spark broadcasts a small side. Else it sorts and
+    merges, streaming the sales past the few readings of a key, and splits a
+    hot key at run time (AQE skew join). It can do so only where a shuffle
+    feeds the join directly, and an input that is already partitioned by the
+    keys, such as an aggregate, would save that shuffle. The hash among the
+    join keys asks for it. Leave it out (``split_hot_keys=False``) for tables
+    bucketed by the keys that have no hot key.
+
     Typed keys also match ``0200`` with ``200``; read the files as text to
     keep such keys apart.
     """
-    return _readings(inventory).join(sales, list(FACT_KEYS), "inner")
+    readings, keys = _readings(inventory), list(FACT_KEYS)
+    reading_columns = [c for c in readings.columns if c not in FACT_KEYS]
+    sales_columns = [c for c in sales.columns if c not in FACT_KEYS]
+    if split_hot_keys:
+        key_hash = F.xxhash64(*FACT_KEYS)
+        readings = readings.withColumn("key_hash", key_hash)
+        sales = sales.withColumn("key_hash", key_hash)
+        keys.append("key_hash")
+    return (
+        sales.alias("sale")
+        .join(readings.alias("reading"), keys, "inner")
+        .select(
+            *FACT_KEYS,
+            *[F.col(f"reading.{c}") for c in reading_columns],
+            *[F.col(f"sale.{c}") for c in sales_columns],
+        )
+    )
 
 
 def low_stock(compare_as_text: bool = False) -> Column:
@@ -158,77 +182,69 @@ def weekly_summary(
     aggregation from seven sums, one per day. Hence no window, no second pass
     over the join and a single shuffle behind it.
     """
-    fact = _readings_by_level(inventory).join(
+    joined = _readings_by_level(inventory).join(
         _sales_by_quantity(sales), list(FACT_KEYS), "inner"
     )
-    on_hand = _number(fact, "inventory_on_hand_qty")
-    low = F.col("low_stock_flg") == 1
-    amount, readings = F.col("amount"), F.col("reading_rows")
-    fact = fact.select(
-        "store_key",
-        "prod_key",
-        "sale_rows",
-        week_start(F.col("trans_dt")).alias("wk_timestamp"),
-        closing_rank(F.col("trans_dt"), week_end).alias("rank"),
-        low_stock(compare_as_text).alias("low_stock_flg"),
-        (F.col("sale_rows") * readings).alias("fact_rows"),
-        _number(fact, "sales_qty").alias("qty"),
-        on_hand.alias("on_hand"),
-        (F.col("on_order") * F.col("sale_rows")).alias("on_order"),
-        (F.col("out_flags") * F.col("sale_rows")).alias("out_flags"),
-        (amount * readings).alias("amount"),
-        (F.col("amount_rows") * readings).alias("amount_rows"),
-        (F.col("cost") * readings).alias("cost"),
-        # Amounts of out-of-stock rows; 0 for the others, so null only if there are no others.
-        F.when(F.col("out_rows") == readings, amount * readings)
-        .otherwise(F.coalesce(amount * F.col("out_rows"), F.lit(0)))
-        .alias("amount_out"),
-    ).withColumn("on_hand_units", F.col("on_hand") * F.col("fact_rows"))
-
-    rank, rows = F.col("rank"), F.col("fact_rows")
+    day = F.col("trans_dt")
+    # Conversions first: text columns are summed as numbers, but compared as they are.
+    fact = joined.select(
+        "*",
+        week_start(day).alias("wk_timestamp"),
+        closing_rank(day, week_end).alias("rank"),
+        low_stock(compare_as_text).alias("low"),
+        _number(joined, "sales_qty").alias("qty"),
+        _number(joined, "inventory_on_hand_qty").alias("on_hand"),
+    ).selectExpr(
+        *WEEK_KEYS,
+        "rank",
+        "qty * sale_rows * reading_rows AS qty",
+        "amount * reading_rows AS amount",
+        "cost * reading_rows AS cost",
+        "on_hand * sale_rows * reading_rows AS on_hand",
+        "on_order * sale_rows AS on_order",
+        "out_flags * sale_rows AS out_flags",
+        "low * sale_rows * reading_rows AS low_flags",
+        """CASE WHEN low = 1 THEN (amount - on_hand * amount_rows) * reading_rows
+                ELSE 0 END AS low_impact""",
+        # Rows that are not out of stock count 0: null only if there are none of those.
+        """CASE WHEN out_rows = reading_rows THEN amount * reading_rows
+                ELSE coalesce(amount * out_rows, 0) END AS out_impact""",
+    )
+    sums = ("qty", "amount", "cost", "out_flags", "low_flags", "low_impact", "out_impact")
     grouped = fact.groupBy(*WEEK_KEYS).agg(
-        F.sum(F.col("qty") * rows).alias("qty"),
-        F.sum("amount").alias("amount"),
-        F.sum("cost").alias("cost"),
-        F.sum("out_flags").alias("no_stock_instances"),
-        F.sum(F.col("low_stock_flg") * rows).alias("low_stock_instances"),
-        F.sum(
-            F.when(low, F.col("amount") - F.col("on_hand") * F.col("amount_rows")).otherwise(0)
-        ).alias("low_impact"),
-        F.sum("amount_out").alias("no_impact"),
-        F.min(rank).alias("first_rank"),
-        F.max(rank).alias("last_rank"),
-        *[F.sum(F.when(rank == d, F.col("on_hand_units"))).alias(f"on_hand_{d}") for d in _DAYS],
-        *[F.sum(F.when(rank == d, F.col("on_order"))).alias(f"on_order_{d}") for d in _DAYS],
+        F.expr("min(rank) AS first_rank"),
+        F.expr("max(rank) AS last_rank"),
+        *[F.expr(f"sum({c}) AS {c}") for c in sums],
+        *[
+            F.expr(f"sum(CASE WHEN rank = {d} THEN {c} END) AS {c}_{d}")
+            for c in ("on_hand", "on_order")
+            for d in _DAYS
+        ],
     )
 
-    def closing(prefix: str) -> Column:
+    def closing(level: str) -> str:
         """The last day's sum. Other days count as 0, so null only if there is no other day."""
-        last = F.element_at(F.array(*[F.col(f"{prefix}_{d}") for d in _DAYS]), F.col("last_rank"))
-        other_day = F.when(F.col("first_rank") < F.col("last_rank"), F.lit(0))
-        return F.coalesce(last, other_day).cast("double")
+        by_rank = ", ".join(f"{level}_{d}" for d in _DAYS)
+        return (
+            f"CAST(coalesce(element_at(array({by_rank}), last_rank),"
+            " CASE WHEN first_rank < last_rank THEN 0 END) AS DOUBLE)"
+        )
 
-    measured = grouped.select(
+    return grouped.selectExpr(
         *WEEK_KEYS,
-        F.col("qty").cast("double").alias("total_sales_qty"),
-        F.col("amount").cast("double").alias("total_sales_amount"),
-        F.col("cost").cast("double").alias("total_sales_cost"),
-        closing("on_hand").alias("stock_level_EOW"),
-        closing("on_order").alias("order_level_EOW"),
-        (F.col("no_stock_instances") / F.lit(7)).alias("percent_in_stock"),
-        (F.col("no_stock_instances") + F.col("low_stock_instances")).alias(
-            "total_low_stock_impact"
-        ),
-        F.col("low_impact").cast("double").alias("potential_low_stock_impact"),
-        F.col("no_impact").cast("double").alias("no_stock_impact"),
-        "low_stock_instances",
-        "no_stock_instances",
-    )
-    return measured.withColumns(
-        {
-            "avg_sales_price": F.try_divide("total_sales_amount", "total_sales_qty"),
-            "weeks_on_hand_stock_can_supply": F.try_divide("stock_level_EOW", "total_sales_qty"),
-        }
+        "CAST(qty AS DOUBLE) AS total_sales_qty",
+        "CAST(amount AS DOUBLE) AS total_sales_amount",
+        "CAST(cost AS DOUBLE) AS total_sales_cost",
+        f"{closing('on_hand')} AS stock_level_EOW",
+        f"{closing('on_order')} AS order_level_EOW",
+        "out_flags / 7 AS percent_in_stock",
+        "out_flags + low_flags AS total_low_stock_impact",
+        "CAST(low_impact AS DOUBLE) AS potential_low_stock_impact",
+        "CAST(out_impact AS DOUBLE) AS no_stock_impact",
+        "low_flags AS low_stock_instances",
+        "out_flags AS no_stock_instances",
+        "try_divide(total_sales_amount, total_sales_qty) AS avg_sales_price",
+        "try_divide(stock_level_EOW, total_sales_qty) AS weeks_on_hand_stock_can_supply",
     ).select(*WEEK_KEYS, *WEEKLY_MEASURES)
 
 

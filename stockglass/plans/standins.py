@@ -6,11 +6,11 @@ formula over a whole given table and grows with it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockglass.schemas import DIMENSION_TABLES, REQUIRED_TABLES
 
-FIRST_DAY = "1995-01-01"
+FIRST_DAY = "DATE'1995-01-01'"
 LISTED_TABLES = ("calendar", "inventory", "sales", "store", "product")
 
 
@@ -18,65 +18,66 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _days_since(day: Column) -> Column:
-    return F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-
-
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    return table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trans_id"),
-        F.col("l_shipdate").cast("date").alias("trans_dt"),
-        (F.lit(100) + F.col("l_suppkey") % 8).alias("store_key"),
-        (F.col("l_partkey") % 10).alias("prod_key"),
-        F.col("l_quantity").cast("decimal(12,2)").alias("sales_qty"),
-        (price * (F.lit(1) - discount)).cast("decimal(18,4)").alias("sales_amt"),
-        (price * F.lit("0.8").cast("decimal(2,1)")).cast("decimal(18,4)").alias("sales_cost"),
-        F.col("l_discount").cast("decimal(6,4)").alias("discount"),
+    price, discount = "CAST(l_extendedprice AS DECIMAL(12,2))", "CAST(l_discount AS DECIMAL(4,2))"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS trans_id",
+        "CAST(l_shipdate AS DATE) AS trans_dt",
+        "100 + l_suppkey % 8 AS store_key",
+        "l_partkey % 10 AS prod_key",
+        "CAST(l_quantity AS DECIMAL(12,2)) AS sales_qty",
+        f"CAST({price} * (1 - {discount}) AS DECIMAL(18,4)) AS sales_amt",
+        f"CAST({price} * 0.8 AS DECIMAL(18,4)) AS sales_cost",
+        "CAST(l_discount AS DECIMAL(6,4)) AS discount",
     )
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reading per product, store and day with a sale; every eleventh is missing."""
-    keys = sales(spark, sf_dir).select("prod_key", "store_key", "trans_dt").distinct()
-    prod, store, days = F.col("prod_key"), F.col("store_key"), _days_since(F.col("trans_dt"))
-    on_hand = (store * 31 + prod * 17 + days * 7) % 60
-    return keys.where((store + prod + days) % 11 != 0).select(
-        F.col("trans_dt").alias("cal_dt"),
-        "store_key",
-        "prod_key",
-        on_hand.cast("decimal(12,2)").alias("inventory_on_hand_qty"),
-        ((store * 13 + prod * 5 + days * 3) % 40)
-        .cast("decimal(12,2)")
-        .alias("inventory_on_order_qty"),
-        F.when(on_hand < 5, 1).otherwise(0).alias("out_of_stock_flg"),
+    on_hand = "(store_key * 31 + prod_key * 17 + dd * 7) % 60"
+    return (
+        sales(spark, sf_dir)
+        .select("prod_key", "store_key", "trans_dt")
+        .distinct()
+        .selectExpr("*", f"datediff(trans_dt, {FIRST_DAY}) AS dd")
+        .where("(store_key + prod_key + dd) % 11 <> 0")
+        .selectExpr(
+            "trans_dt AS cal_dt",
+            "store_key",
+            "prod_key",
+            f"CAST({on_hand} AS DECIMAL(12,2)) AS inventory_on_hand_qty",
+            """CAST((store_key * 13 + prod_key * 5 + dd * 3) % 40 AS DECIMAL(12,2))
+                 AS inventory_on_order_qty""",
+            f"CASE WHEN {on_hand} < 5 THEN 1 ELSE 0 END AS out_of_stock_flg",
+        )
     )
 
 
 def inventory_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inventory with violations of every expectation."""
-    days = _days_since(F.col("cal_dt"))
-    on_hand, flag = F.col("inventory_on_hand_qty"), F.col("out_of_stock_flg")
-    return inventory(spark, sf_dir).withColumns(
-        {
-            "prod_key": F.when(days % 50 != 0, F.col("prod_key")),
-            "store_key": F.col("store_key") - 3,
-            "inventory_on_hand_qty": F.when(days % 41 == 0, F.lit(-1).cast("decimal(12,2)")).when(
-                days % 43 != 0, on_hand
-            ),
-            "out_of_stock_flg": F.when(days % 37 == 0, 2).when(days % 53 != 0, flag),
-        }
+    return (
+        inventory(spark, sf_dir)
+        .selectExpr("*", f"datediff(cal_dt, {FIRST_DAY}) AS dd")
+        .selectExpr(
+            "cal_dt",
+            "store_key - 3 AS store_key",
+            "CASE WHEN dd % 50 <> 0 THEN prod_key END AS prod_key",
+            """CASE WHEN dd % 41 = 0 THEN CAST(-1 AS DECIMAL(12,2))
+                    WHEN dd % 43 <> 0 THEN inventory_on_hand_qty END AS inventory_on_hand_qty""",
+            "inventory_on_order_qty",
+            """CASE WHEN dd % 37 = 0 THEN 2
+                    WHEN dd % 53 <> 0 THEN out_of_stock_flg END AS out_of_stock_flg""",
+        )
     )
 
 
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.col("trans_id") % 10
+    """Sales with violations; the last digit of ``trans_id`` is the line number."""
     return sales(spark, sf_dir).withColumns(
         {
-            "store_key": F.col("store_key") - 3,
-            "discount": F.when(
-                line != 7, F.col("discount") - F.lit("0.01").cast("decimal(6,4)")
+            "store_key": F.expr("store_key - 3"),
+            "discount": F.expr(
+                "CASE WHEN trans_id % 10 <> 7 THEN discount - CAST(0.01 AS DECIMAL(6,4)) END"
             ),
         }
     )
@@ -88,34 +89,33 @@ def climate(spark: SparkSession, sf_dir: str) -> DataFrame:
     The day is taken from an aggregate, not from the grouping key, so that
     checks of the date run on station rows and are not pushed to the orders.
     """
-    n = F.col("n")
     return (
         table(spark, sf_dir, "orders")
-        .groupBy(F.col("o_orderdate").cast("date"))
+        .groupBy(F.expr("CAST(o_orderdate AS DATE)"))
         .agg(
-            F.max("o_orderdate").cast("date").alias("day"),
-            F.max("o_totalprice").alias("top"),
-            F.count(F.lit(1)).alias("n"),
+            F.expr("CAST(max(o_orderdate) AS DATE) AS day"),
+            F.expr("max(o_totalprice) AS top"),
+            F.expr("count(*) AS n"),
         )
-        .select(
-            F.year("day").cast("string").alias("Year"),
-            F.date_format("day", "MM/dd/yy").alias("Date/Time"),
-            F.col("top").cast("decimal(12,2)").cast("string").alias("Max Temp (°C)"),
-            F.when(n % 3 == 0, F.lit(" ")).otherwise(n.cast("string")).alias("Data Quality"),
+        .selectExpr(
+            "CAST(year(day) AS STRING) AS Year",
+            "date_format(day, 'MM/dd/yy') AS `Date/Time`",
+            "CAST(CAST(top AS DECIMAL(12,2)) AS STRING) AS `Max Temp (°C)`",
+            "CASE WHEN n % 3 = 0 THEN ' ' ELSE CAST(n AS STRING) END AS `Data Quality`",
         )
     )
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paths of the five extracts per ship date; some are missing."""
-    days = table(spark, sf_dir, "lineitem").select(
-        F.col("l_shipdate").cast("date").alias("day")
-    ).distinct()
-    tables = F.array(*[F.lit(t) for t in LISTED_TABLES])
+    names = ", ".join(f"'{t}'" for t in LISTED_TABLES)
     return (
-        days.select("day", F.posexplode(tables).alias("position", "table_name"))
-        .where((_days_since(F.col("day")) + F.col("position")) % 13 != 0)
-        .select(F.format_string("in/%s_%s.csv", "table_name", F.col("day").cast("string")).alias("path"))
+        table(spark, sf_dir, "lineitem")
+        .selectExpr("CAST(l_shipdate AS DATE) AS day")
+        .distinct()
+        .selectExpr("day", f"posexplode(array({names})) AS (position, table_name)")
+        .where(f"(datediff(day, {FIRST_DAY}) + position) % 13 <> 0")
+        .selectExpr("concat('in/', table_name, '_', CAST(day AS STRING), '.csv') AS path")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 
 from stockglass.functions.weeks import DATE
 from stockglass.operators import retail
-from stockglass.schemas import INVENTORY, SALES, WEEK_KEYS, WEEKLY_MEASURES, as_text
+from stockglass.schemas import FACT_KEYS, INVENTORY, SALES, WEEK_KEYS, WEEKLY_MEASURES, as_text
 from tests.plans import final_plan, initial_plan
 
 
@@ -216,7 +216,11 @@ def test_join_drops_what_has_no_partner(spark):
     )
     fact = retail.daily_fact(sales, inventory)
     assert one(fact).trans_dt == day("2023-05-05")
-    assert fact.columns.count("prod_key") == 1
+    assert fact.columns == [
+        *FACT_KEYS, *INVENTORY.names[3:], "trans_id", "sales_qty", "sales_amt", "sales_cost", "discount"
+    ]
+    bucketed = retail.daily_fact(sales, inventory, split_hot_keys=False)
+    assert bucketed.collect() == fact.collect()
 
 
 def test_totals_of_fact_and_summary_agree(tables):
@@ -267,6 +271,9 @@ def test_hot_fact_key_is_split(spark, tables):
             spark.conf.set(k, v)
         rows = retail.daily_fact(sales.repartition(8), inventory)
         assert "skew=true" in final_plan(rows)
+        # Also when the readings come from an aggregation by the join keys.
+        derived = inventory.dropDuplicates(["prod_key", "store_key", "cal_dt"])
+        assert "skew=true" in final_plan(retail.daily_fact(sales.repartition(8), derived))
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
