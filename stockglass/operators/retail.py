@@ -178,37 +178,54 @@ def weekly_summary(
 
     Equal to flagging the daily fact and aggregating it, but no fact row is
     ever built: both sides are folded by quantity first and carry their row
-    counts as weights, and the last day of the week is chosen after the
-    aggregation from seven sums, one per day. Hence no window, no second pass
-    over the join and a single shuffle behind it.
+    counts as weights. What meets in the join is summed per reading, where the
+    rows already are, then per week. The last day of the week is chosen after
+    that from seven sums, one per day. Hence no window and no second pass over
+    the join.
     """
     joined = _readings_by_level(inventory).join(
         _sales_by_quantity(sales), list(FACT_KEYS), "inner"
     )
+    # Text columns are summed as numbers, but compared as they are.
+    met = (
+        joined.select(
+            *joined.columns,
+            low_stock(compare_as_text).alias("low"),
+            _number(joined, "sales_qty").alias("qty"),
+            _number(joined, "inventory_on_hand_qty").alias("on_hand"),
+        )
+        .groupBy(*FACT_KEYS, "on_hand", "on_order", "out_flags", "out_rows", "reading_rows")
+        .agg(
+            F.expr("sum(sale_rows) AS sale_rows"),
+            F.expr("sum(qty * sale_rows) AS qty"),
+            F.expr("sum(amount) AS amount"),
+            F.expr("sum(cost) AS cost"),
+            F.expr("sum(low * sale_rows) AS low_rows"),
+            F.expr("sum(low * amount_rows) AS low_amount_rows"),
+            F.expr("sum(CASE WHEN low = 1 THEN amount END) AS low_amount"),
+        )
+    )
     day = F.col("trans_dt")
-    # Conversions first: text columns are summed as numbers, but compared as they are.
-    fact = joined.select(
-        "*",
+    # Each reading counts once per sales row, each sales row once per reading.
+    fact = met.select(
+        *met.columns,
         week_start(day).alias("wk_timestamp"),
         closing_rank(day, week_end).alias("rank"),
-        low_stock(compare_as_text).alias("low"),
-        _number(joined, "sales_qty").alias("qty"),
-        _number(joined, "inventory_on_hand_qty").alias("on_hand"),
     ).selectExpr(
         *WEEK_KEYS,
         "rank",
-        "qty * sale_rows * reading_rows AS qty",
+        "qty * reading_rows AS qty",
         "amount * reading_rows AS amount",
         "cost * reading_rows AS cost",
-        "on_hand * sale_rows * reading_rows AS on_hand",
+        "on_hand * (sale_rows * reading_rows) AS on_hand",
         "on_order * sale_rows AS on_order",
         "out_flags * sale_rows AS out_flags",
-        "low * sale_rows * reading_rows AS low_flags",
-        """CASE WHEN low = 1 THEN (amount - on_hand * amount_rows) * reading_rows
-                ELSE 0 END AS low_impact""",
-        # Rows that are not out of stock count 0: null only if there are none of those.
-        """CASE WHEN out_rows = reading_rows THEN amount * reading_rows
-                ELSE coalesce(amount * out_rows, 0) END AS out_impact""",
+        "low_rows * reading_rows AS low_flags",
+        # Rows without the flag count 0: an impact is null only if there are none of those.
+        """coalesce(low_amount - on_hand * low_amount_rows,
+                    CASE WHEN low_rows < sale_rows THEN 0 END) * reading_rows AS low_impact""",
+        """coalesce(amount * out_rows,
+                    CASE WHEN out_rows < reading_rows THEN 0 END) AS out_impact""",
     )
     sums = ("qty", "amount", "cost", "out_flags", "low_flags", "low_impact", "out_impact")
     grouped = fact.groupBy(*WEEK_KEYS).agg(

@@ -16,6 +16,8 @@ def local_session(cores: int | str = "*", app: str = "stockglass", **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # As few partitions as cores: merging small ones would leave cores idle.
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
