@@ -63,23 +63,23 @@ def unique(column: str, note: str = "") -> Expectation:
     return Expectation(UNIQUE, column, note=note)
 
 
-# The suites as shipped. Notes are kept as they were written: the flag's set is
-# {0, 1} although its note says otherwise, and the two store bounds differ.
+# The suites as shipped: fixed names, columns, sets and bounds. The two upper
+# bounds of store_key differ, and both are kept.
 INVENTORY_SUITE = Suite(
     "input_data_snowflake_check",
     (
         not_null("prod_key"),
-        in_set("out_of_stock_flg", (0, 1), "This is ensuring that this flag is properly set to 1 or 2"),
-        between("store_key", 100, 9999, "Store number should be 4 digits long"),
-        between("inventory_on_hand_qty", 0, 999999, "Ensure inventory on hand is > 0"),
+        in_set("out_of_stock_flg", (0, 1), "the flag is 0 or 1"),
+        between("store_key", 100, 9999, "store numbers have three or four digits"),
+        between("inventory_on_hand_qty", 0, 999999, "stock is not negative"),
     ),
 )
 SALES_SUITE = Suite(
     "sales_data_check",
     (
         unique("trans_id"),
-        between("store_key", 100, 9990, "Ensure store key is 4 digits long"),
-        between("discount", 0, 1, "Ensure store key is 4 digits long"),
+        between("store_key", 100, 9990, "store numbers have three or four digits"),
+        between("discount", 0, 1, "the discount is a share"),
     ),
 )
 SUITES = {suite.name: suite for suite in (INVENTORY_SUITE, SALES_SUITE)}

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from stockglass.functions.names import column, header_names
@@ -21,14 +20,6 @@ MISSING_TEXTS = (
 )
 
 
-def _first_row(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of the partition; the rest of its file is left unread."""
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
-
-
 def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
     """Header line -> the files that begin with it, both sorted by path.
 
@@ -36,6 +27,14 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, l
     after its first row. One row per file reaches the driver, which lists the
     files for the scan anyway.
     """
+
+    # Defined here so that it travels with the task: workers need not have this package.
+    def first_row(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
     open_cost, split_size = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(open_cost)
     # A file costs a whole split to open, so Spark never packs two into a task.
@@ -44,7 +43,7 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, l
         lines = (
             spark.read.text(paths)
             .select("_metadata.file_path", "_metadata.file_block_start", "value")
-            .mapInArrow(_first_row, "file_path string, file_block_start bigint, value string")
+            .mapInArrow(first_row, "file_path string, file_block_start bigint, value string")
             .where("file_block_start = 0")
             .collect()
         )
