@@ -55,8 +55,8 @@ def daily_fact(
         .join(readings.alias("reading"), keys, "inner")
         .select(
             *FACT_KEYS,
-            *[F.col(f"reading.{c}") for c in reading_columns],
-            *[F.col(f"sale.{c}") for c in sales_columns],
+            *[F.col(f"reading.`{c}`") for c in reading_columns],
+            *[F.col(f"sale.`{c}`") for c in sales_columns],
         )
     )
 
