@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockglass.llm import mixing
+from stockglass.llm import mixing, simhash
 from stockglass.llm.common import table
 
 
@@ -53,8 +53,15 @@ FROM sized d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
 LEFT JOIN ends e ON d.source IS NOT DISTINCT FROM e.source
 """
 
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_mix_sources": op4_mix_sources,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
 }
 ORACLE_SQL = {
     "op4_mix_sources": OP4_SQL,
