@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockglass.llm import mixing, simhash
+from stockglass.llm import minhash, mixing, simhash
 from stockglass.llm.common import table
 
 
@@ -59,9 +59,14 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_document_fingerprints": op7_document_fingerprints,
 }
 ORACLE_SQL = {
     "op4_mix_sources": OP4_SQL,
