@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockglass.llm import minhash, mixing, simhash
+from stockglass.llm import minhash, mixing, simhash, toxicity
 from stockglass.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_document_fingerprints": op7_document_fingerprints,

@@ -1,0 +1,64 @@
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from stockglass.llm import queries, toxicity
+from tests.llm.conftest import DATA
+
+
+def test_held_out_accuracy(spark):
+    data = "/root/testdata/sf0.1"
+    got = queries.op1_toxicity(spark, data)
+    assert got.count() == 10_000
+    labels = spark.read.parquet(f"{data}/labels.parquet")
+    rows = got.join(labels, "doc_id").filter("held_out").collect()
+    toxic = [r for r in rows if r.toxic == 1]
+    assert sum(r.predicted for r in toxic) >= 0.85 * len(toxic)
+    assert sum(r.predicted for r in rows if r.toxic == 0) <= 0.01 * len(rows)
+
+
+def test_fold_range_and_decision(spark):
+    for r in queries.op1_toxicity(spark, DATA).collect():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+
+
+def test_margin_is_the_sum_over_all_pairs():
+    rng = np.random.default_rng(3)
+    m = toxicity.FactorizationMachine(np.arange(9), 0.3, rng.normal(size=9), rng.normal(size=(9, 4)))
+    row = np.array([1, 4, 5, 8])
+    pairs = sum(m.factors[i] @ m.factors[j] for i in row for j in row if i < j)
+    wanted = 1 / (1 + np.exp(-(0.3 + m.linear[row].sum() + pairs)))
+    got = m.scores([row, np.array([], dtype=int)])
+    assert np.allclose(got, [wanted, 1 / (1 + np.exp(-0.3))])
+
+
+def test_a_pair_counts_where_its_words_do_not():
+    rng = np.random.default_rng(5)
+    rows = [np.flatnonzero(rng.random(6) < 0.5) for _ in range(800)]
+    both = np.array([float((0 in r) == (1 in r)) for r in rows])
+    m = toxicity.fit(np.arange(6), rows, both)
+    assert ((m.scores(rows) >= 0.5) == both).mean() > 0.95
+
+
+def test_nulls_blanks_long_texts_repeated_rows_and_clashing_columns(spark, documents):
+    docs = [(i, f"nice day {i} idiot" if i % 3 == 0 else f"nice day {i}") for i in range(90)]
+    labels = spark.createDataFrame(
+        [(i, int(i % 3 == 0), "x") for i in range(90)] + [(None, 1, "x"), (4, None, "x"), (8, 0, "x")],
+        "doc_id long, toxic int, terms string",
+    )
+    rest = [(None, "idiot"), (200, None), (201, ""), (202, "word " * 200_000 + "IDIOT!"), (203, "day"), (203, "day")]
+    table = documents(docs + rest).withColumn("score", F.lit("x")).withColumn("label", F.lit(1))
+    got = toxicity.toxicity(table, labels).collect()
+    assert len(got) == 96
+    by_id = {r.doc_id: r.predicted for r in got}
+    assert by_id[None] == by_id[202] == by_id[3] == 1
+    assert by_id[200] == by_id[201] == by_id[203] == by_id[4] == 0
+
+
+def test_without_labels_or_documents(spark, documents):
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    (row,) = toxicity.toxicity(documents([(1, "a")]), labels).collect()
+    assert row.score == 0.5 and row.predicted == 1
+    assert toxicity.toxicity(documents([]), labels).collect() == []
