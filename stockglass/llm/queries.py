@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockglass.llm import minhash, mixing, simhash, toxicity
+from stockglass.llm import minhash, mixing, quality, simhash, toxicity
 from stockglass.llm.common import table
 
 
@@ -67,11 +67,16 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_document_fingerprints": op7_document_fingerprints,
+    "op10_quality": op10_quality,
 }
 ORACLE_SQL = {
     "op4_mix_sources": OP4_SQL,
