@@ -25,7 +25,14 @@ def training_labels(labels: DataFrame, column: str, folds: int, fold: int, rows:
     )
 
 
-def training_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text, label: the texts of the chosen documents."""
-    chosen = labels.withColumnRenamed("doc_id", "label_id")
-    return docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("label_id")).select("text", "label")
+def training_documents(docs: DataFrame, chosen: DataFrame, *more: str) -> DataFrame:
+    """text, the columns of ``chosen`` and ``more`` of the chosen documents.
+
+    chosen: doc_id and what is known of it, a bounded number of rows, which is
+    what makes the broadcast safe. Of several rows with one id the least counts.
+    """
+    ids = F.broadcast(chosen.withColumnRenamed("doc_id", "chosen_id"))
+    rows = docs.select("doc_id", "text", *more).join(ids, F.col("doc_id") == F.col("chosen_id"))
+    rest = [*more, *(c for c in chosen.columns if c != "doc_id")]
+    least = F.min(F.struct("text", *rest)).alias("row")
+    return rows.groupBy("doc_id").agg(least).select("row.*")
