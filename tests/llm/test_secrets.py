@@ -1,0 +1,97 @@
+import hashlib
+import math
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from stockglass.llm import queries, secrets
+from tests.llm.conftest import DATA
+
+RANKS = {"password": 1, "dragon": 2, "monkey": 30, "the": 4, "and": 5}
+
+
+def plain_base(text):
+    """The fixed forms by their definition, kind by kind."""
+    forms = (
+        ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
+        ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
+        ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 24),
+    )
+    found = []
+    for order, (kind, pattern, good) in enumerate(forms):
+        found += [(m.start(), order, m.end(), kind) for m in re.finditer(pattern, text) if good(m)]
+    return [(s, e, kind) for s, _, e, kind in sorted(found)]
+
+
+PIECES = st.sampled_from(
+    ["token", "PassWord", "api_key", "apikey", "=", ":", " ", '"', "AKIA", "ABCDEFGHIJ0123456", "deadbeef" * 3, "ß", "a", "0", "x-y", "is", "\n"]
+)
+
+
+@given(st.lists(PIECES, max_size=14).map("".join))
+@settings(deadline=None, max_examples=300)
+def test_base_forms(text):
+    assert sorted(secrets.base_spans(text, text.lower()), key=lambda s: (s[0], secrets.KINDS.index(s[2]))) == plain_base(text)
+    spans, _ = secrets.find_secrets(text, RANKS)
+    assert [s for s in spans if s[2] != "guess"] == plain_base(text)
+
+
+def exhaustive(value):
+    if not value:
+        return 0.0
+    return min(secrets.segment_cost(value[:i], RANKS) + exhaustive(value[i:]) for i in range(1, len(value) + 1))
+
+
+@pytest.mark.parametrize("value", ["Dragon99", "p4ssword", "aaaaaa12", "qwertyM", "19840523x", "theand!", "zyxzyx", "äöß"])
+def test_cheapest_segmentation(value):
+    assert math.isclose(secrets.guess_cost(value, RANKS), exhaustive(value))
+
+
+def test_what_is_easy_and_what_is_hard():
+    easy = ["password", "Dragon1984", "qwertyuiop", "aaaaaaaaaaaaaaaa", "abcabcabcabc", "24-12-1999", "m0nkey2001", "987654321"]
+    hard = ["xK9$vq2Lm!7p", "gT7fRw0ZpQ3s", "t4V9-bN2x_Q8z"]
+    assert all(secrets.guess_cost(v, RANKS) < 8 for v in easy)
+    assert all(secrets.guess_cost(v, RANKS) > 14 for v in hard)
+
+
+def test_values_in_a_wider_context():
+    text = "client_secret => xK9$vq2Lm!7p, passphrase: dragonmonkey and passcode is 'gT7fRw0ZpQ3s'"
+    spans, easy = secrets.find_secrets(text, RANKS)
+    assert [text[s:e] for s, e, _ in spans] == ["xK9$vq2Lm!7p", "gT7fRw0ZpQ3s"]
+    assert {k for *_, k in spans} == {"guess"} and easy == 1
+
+
+def test_query_keeps_all_base_spans(spark):
+    got = {r.doc_id: r for r in queries.op6_secrets(spark, DATA).collect()}
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for d in docs:
+        wanted = plain_base(d.text)
+        r = got[d.doc_id]
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == kind for *_, k in wanted) for kind in secrets.KINDS[:3]]
+        base = ",".join(f"{k}:{s}:{e}" for s, e, k in wanted)
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert [x for x in r.spans.split(",") if x and not x.startswith("guess")] == [x for x in base.split(",") if x]
+
+
+def test_words_are_counted_over_all_documents(documents, monkeypatch):
+    docs = documents([(i, "often often rare%d x y2" % i) for i in range(20)] + [(99, None)])
+    assert secrets.common_words(docs, 3) == {"often": 1}
+    monkeypatch.setattr(secrets, "COUNTED_WORDS", 2)
+    assert secrets.common_words(documents([(1, "aaa bbb bbb"), (2, "bbb ccc ccc ccc ddd")]), 2) == {"bbb": 1, "ccc": 2}
+
+
+def test_cases(documents):
+    long = "word " * 200_000 + "token=abcdef123 " + "secret: " + "k9" * 5000
+    rows = [(None, "passwd = hunter22"), (1, None), (2, ""), (3, long), (4, "AKIA" + "Z" * 16), (4, "AKIA" + "Z" * 16)]
+    docs = documents(rows).withColumn("spans", F.lit("x")).withColumn("f", F.lit(1))
+    got = secrets.secrets(docs, RANKS).collect()
+    by_id = {r.doc_id: r for r in got}
+    assert len(got) == 6 and by_id[1].spans == by_id[2].spans == ""
+    assert by_id[1].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert by_id[None].spans == "assign:0:17" and by_id[4].n_access == 1
+    assert by_id[3].spans.startswith("assign:1000000:1000015,")
+    assert secrets.secrets(documents([])).collect() == []
