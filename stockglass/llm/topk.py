@@ -93,8 +93,9 @@ class BallTree:
             left, right = self.children[node]
             if left >= 0:
                 for child in (left, right):
-                    if bounds[child] >= kth:
-                        heapq.heappush(nodes, (-bounds[child], child))
+                    allowed = min(-bound, bounds[child])  # a ball's points are its parent's too
+                    if allowed >= kth:
+                        heapq.heappush(nodes, (-allowed, child))
                 continue
             start, end = self.span[node]
             scores = self.points[start:end] @ query
