@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockglass.llm import language, minhash, mixing, pieces, quality, secrets, simhash, topk, toxicity
+from stockglass.llm import language, minhash, mixing, personal, pieces, quality, secrets, simhash, topk, toxicity
 from stockglass.llm.common import table
 
 
@@ -95,6 +95,10 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -111,6 +115,7 @@ QUERIES = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_secrets": op6_secrets,
     "op7_document_fingerprints": op7_document_fingerprints,
+    "op8_personal_data": op8_personal_data,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
 }
