@@ -1,9 +1,10 @@
 """Language of a text: first its family, then the language within the family.
 
-Features are shares of hashed character 1- to 4-grams of the words. One linear
-support vector machine for each family, against the rest, picks the family; one
-for each pair of its languages then votes. All are linear in the counts, so a word
-contributes a fixed vector, which a task computes once per word it meets.
+Features are shares of hashed 1- to 4-grams of the letters in lower case, with one
+mark for whatever stands between two words. One linear support vector machine for
+each family, against the rest, picks the family; one for each pair of its
+languages then votes. Whole texts are counted, with array operations over pieces
+of bounded length.
 
 Learned from the text and the given language of a bounded number of documents of
 every language, chosen by the hash of their id.
@@ -16,7 +17,6 @@ predicted one by one. An empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -31,14 +31,14 @@ from stockglass.llm.common import held_out, materialize
 from stockglass.llm.labelled import training_documents
 
 FOLDS, FOLD = 3, 1
-ROWS_PER_LANGUAGE = 500  # documents of a language the model is fitted to, about
-TRAIN_ROWS = 4000  # documents of all languages, at most
-BUCKETS = 8192
+ROWS_PER_LANGUAGE = 400  # documents of a language the model is fitted to, about
+TRAIN_ROWS = 2000  # documents of all languages, at most
+BUCKET_BITS = 12
+BUCKETS = 1 << BUCKET_BITS
 GRAMS = (1, 2, 3, 4)
 PENALTY = 1e-3
 STEPS = 150
-CACHED_WORDS = 100_000  # words whose vectors a task keeps at a time
-PIECE = 20_000  # words of a text added up at a time
+PIECE = 1 << 18  # characters of a text counted at a time
 UNKNOWN = "und"
 LEAST_SCORE = 0.25  # of a document that is accepted; mixtures of two languages stay above
 
@@ -56,48 +56,54 @@ FAMILIES = {
 }
 
 
-def letters(word: str) -> str:
-    return word if word.isalpha() else "".join(filter(str.isalpha, word))
-
-
-def gram_buckets(word: str) -> list[int]:
-    """Buckets of all grams of the letters of a lower-case word."""
-    word = letters(word)
-    if not word:
-        return []
-    word = f"<{word}>"
-    grams = (word[i : i + n] for n in GRAMS for i in range(len(word) - n + 1))
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams]
-
-
-def shares(text: str | None) -> tuple[list[int], list[float]]:
-    """Buckets and their shares of all grams of a text."""
-    counts = np.zeros(BUCKETS, dtype=np.int64)
-    known: dict[str, list[int]] = {}
-    for word in (text or "").lower().split():
-        buckets = known.get(word)
-        if buckets is None:
-            if len(known) >= CACHED_WORDS:
-                known.clear()
-            buckets = known[word] = gram_buckets(word)
-        for b in buckets:
-            counts[b] += 1
+class GramCounter:
+    """Counts the grams of a text by bucket; knows which characters are letters."""
+
+    def __init__(self):
+        self.letter = np.array([chr(c).isalpha() for c in range(0x110000)])
+
+    def _codes(self, piece: str, after_letter: bool) -> np.ndarray:
+        """The letters' codes, with a 0 after each word."""
+        codes = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
+        letter = self.letter[codes]
+        ends_word = ~letter & np.concatenate([[after_letter], letter[:-1]])
+        return np.where(letter, codes, 0)[letter | ends_word]
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        counts = np.zeros(BUCKETS, dtype=np.int64)
+        lower = (text or "").lower()
+        past = np.zeros(1, dtype=np.uint32)  # the last codes of the piece before
+        for at in range(0, len(lower), PIECE):
+            new = self._codes(lower[at : at + PIECE], past[-1] != 0)
+            codes = np.concatenate([past, new])
+            for n in GRAMS:
+                first = max(0, len(past) - n + 1)  # grams that end in this piece
+                size = len(codes) - first - n + 1
+                if len(new) and size > 0:
+                    value = np.full(size, n, dtype=np.uint32)
+                    for k in range(n):
+                        value = value * np.uint32(0x01000193) ^ codes[first + k : first + k + size]
+                    value *= np.uint32(0x9E3779B1)
+                    counts += np.bincount(value >> np.uint32(32 - BUCKET_BITS), minlength=BUCKETS)
+            past = codes[-max(GRAMS) + 1 :]
+        return counts
+
+
+def shares(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets that occur and their shares."""
     at = np.flatnonzero(counts)
-    return at.tolist(), (counts[at] / max(1, counts.sum())).tolist()
+    return at.astype(np.uint16), (counts[at] / max(1, counts.sum())).astype(np.float32)
 
 
-SHARES = T.StructType(
-    [
-        T.StructField("at", T.ArrayType(T.IntegerType())),
-        T.StructField("share", T.ArrayType(T.DoubleType())),
-    ]
-)
+SHARES = T.StructType([T.StructField(c, T.BinaryType()) for c in ("at", "share")])
 
 
 @F.pandas_udf(SHARES)
 def _shares(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    count = GramCounter()
     for batch in texts:
-        yield pd.DataFrame([shares(t) for t in batch], columns=["at", "share"])
+        packed = ([part.tobytes() for part in shares(count(t))] for t in batch)
+        yield pd.DataFrame(packed, columns=SHARES.names)
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -106,6 +112,7 @@ def linear_svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     Accelerated gradient steps, each class with half of the weight.
     """
     x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
+    y = y.astype(x.dtype)
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(x.dtype)
     v = np.random.default_rng(0).normal(size=x.shape[1]).astype(x.dtype)
     for _ in range(20):
@@ -195,42 +202,22 @@ def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, rows: int
         return LanguageModel([])
     table = np.zeros((len(sample), BUCKETS), dtype=np.float32)
     for i, r in enumerate(sample):
-        table[i, r.at] = r.share
+        table[i, np.frombuffer(r.at, np.uint16)] = np.frombuffer(r.share, np.float32)
     return fit(table, np.array([r.lang for r in sample]))
 
 
 class Predictor:
-    """Adds up the vectors of a text's words; keeps those of ``CACHED_WORDS`` words."""
-
     def __init__(self, model: LanguageModel):
-        self.model = model
+        self.model, self.count = model, GramCounter()
         both = np.vstack([model.family_weights, model.pair_weights]).astype(np.float64)
-        self.bias = both[:, -1]
-        # The last column counts the grams.
-        self.weights = np.vstack([both[:, :-1] * model.scale, np.ones(BUCKETS)]).T.copy()
-        self.place: dict[str, int] = {}
-        self.vectors = np.zeros((CACHED_WORDS + PIECE, self.weights.shape[1]))
-
-    def _sum(self, words: list[str]) -> np.ndarray:
-        if len(self.place) >= CACHED_WORDS:
-            self.place.clear()
-        place, at = self.place, []
-        for word in words:
-            i = place.get(word)
-            if i is None:
-                i = place[word] = len(place)
-                self.vectors[i] = self.weights[gram_buckets(word)].sum(axis=0)
-            at.append(i)
-        return self.vectors[at].sum(axis=0)
+        self.weights, self.bias = both[:, :-1] * model.scale, both[:, -1]
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        words = (text or "").lower().split()
-        total = np.zeros(self.weights.shape[1])
-        for i in range(0, len(words), PIECE):
-            total += self._sum(words[i : i + PIECE])
-        if not total[-1] or not self.model.families:
+        counts = self.count(text)
+        total = counts.sum()
+        if not total or not self.model.families:
             return UNKNOWN, 0.0
-        return self.model.decide(total[:-1] / total[-1] + self.bias)
+        return self.model.decide(self.weights @ (counts / total) + self.bias)
 
 
 PREDICTION = T.StructType(

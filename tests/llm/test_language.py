@@ -28,17 +28,31 @@ def test_families_and_pairs(model):
     assert model.pairs == [("de", "en"), ("es", "fr")]
 
 
-def test_a_word_at_a_time_equals_the_whole(model, monkeypatch, spark):
-    text = spark.read.parquet(f"{DATA}/documents.parquet").first().text
-    x = np.zeros(language.BUCKETS)
-    at, share = language.shares(text)
-    x[at] = share
-    both = np.vstack([model.family_weights, model.pair_weights]).astype(float)
-    wanted = model.decide((x * model.scale) @ both[:, :-1].T + both[:, -1])
-    monkeypatch.setattr(language, "PIECE", 7)
-    monkeypatch.setattr(language, "CACHED_WORDS", 11)
-    got = language.Predictor(model)(text)
-    assert got[0] == wanted[0] and abs(got[1] - wanted[1]) < 1e-6
+def plain_counts(text):
+    """Grams one by one: a mark before the text and after each word."""
+    codes = [0]
+    for c in text.lower():
+        if c.isalpha():
+            codes.append(ord(c))
+        elif codes[-1]:
+            codes.append(0)
+    counts = np.zeros(language.BUCKETS, dtype=np.int64)
+    for n in language.GRAMS:
+        for i in range(len(codes) - n + 1):
+            if n == 1 and i == 0:  # the mark in front is no gram of its own
+                continue
+            value = n
+            for c in codes[i : i + n]:
+                value = value * 0x01000193 % 2**32 ^ c
+            counts[value * 0x9E3779B1 % 2**32 >> (32 - language.BUCKET_BITS)] += 1
+    return counts
+
+
+@pytest.mark.parametrize("piece", [1, 2, 7, 10_000])
+@pytest.mark.parametrize("text", ["", "-- 1", "a", "Der Fluß, l'été!", "x" * 20, "ab  12cd\n𝒳é" * 9])
+def test_counts_in_pieces(monkeypatch, piece, text):
+    monkeypatch.setattr(language, "PIECE", piece)
+    assert (language.GramCounter()(text) == plain_counts(text)).all()
 
 
 def test_machine_separates_and_ignores_the_number_of_rows():
