@@ -8,10 +8,11 @@ The search walks the text once. As no piece is longer than the window, later
 pieces start in the window only; once the paths from all its positions go back to
 one boundary, the ids before it are committed and forgotten.
 
-Where no piece can cross, before a run of blanks and around line breaks, paths meet
-at once. Texts are cut there. The ids of short stretches are remembered, and so is
-the piece that ends at each of their positions: it depends on what stands before
-only, so stretches that begin alike share it, and it is found when it is needed.
+Where no piece can cross, before a run of blanks, around line breaks and between two
+characters that are neighbours in no piece, paths meet at once. Texts are cut there.
+The ids of short stretches are remembered, and so is the path to their positions:
+it depends on what stands before only, so stretches that begin alike share it, and
+it is found when it is needed.
 
 Blanks count as U+2581, one is put in front of a text, characters outside the
 vocabulary become the ids of their bytes. Decoding joins the pieces and takes the
@@ -32,15 +33,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-REMEMBERED = 150_000  # stretches, and pairs of pieces, a task remembers at a time
-BEGINNINGS = 500_000  # beginnings of stretches whose last piece it remembers
+REMEMBERED = 300_000  # stretches, and pairs of pieces, a task remembers at a time
+BEGINNINGS = 100_000  # beginnings of stretches whose path it remembers
+YIELDED = 200  # texts whose ids a task hands on at a time
 STRETCH = 48  # characters of a stretch that is remembered, at most
 _STRETCHES = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 
@@ -57,6 +58,7 @@ class Vocabulary:
     cuttable: bool = field(init=False)
     prefixes: dict[str, bool] = field(init=False)  # beginnings of pieces; True for whole ones
     suffixes: dict[str, bool] = field(init=False)  # endings of pieces
+    neighbours: set[str] = field(init=False)  # two characters side by side in a piece
 
     def __post_init__(self):
         self.longest = max(map(len, self.ids), default=1)
@@ -64,6 +66,7 @@ class Vocabulary:
         self.prefixes |= dict.fromkeys(self.ids, True)
         self.suffixes = {p[-n:]: False for p in self.ids for n in range(1, len(p))}
         self.suffixes |= dict.fromkeys(self.ids, True)
+        self.neighbours = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         crossing = (p for p in self.ids if "\n" in p or BLANK in p.lstrip(BLANK))
         self.cuttable = next(crossing, None) is None
 
@@ -109,12 +112,16 @@ def merged(text: str, scores: dict[str, float]) -> list[str]:
     return parts
 
 
+#: The ids of the path to a position, and what may follow its last piece, as far as known.
+Path = tuple[tuple[int, ...], str, dict[str, bool]]
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.stretches: dict[str, array] = {}
-        self.older: dict[str, array] = {}  # stretches remembered before the last REMEMBERED
-        self.last_pieces: dict[str, str] = {"": ""}
+        self.stretches: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # stretches remembered before the last REMEMBERED
+        self.paths: dict[str, Path] = {}
         self.followers: dict[str, dict[str, bool]] = {}
         self.pairs = 0
         self.histories: dict[str, tuple[list[float], list[str], list[str]] | None] = {}
@@ -229,12 +236,14 @@ class Encoder:
         self._commit(pieces, starts, base, n, out)
         return out
 
-    def _last_piece(self, text: str) -> str:
-        """The piece that ends a beginning of a stretch. Longer pieces are tried first, and
-        only beginnings that one of them leaves are asked for theirs."""
-        known = self.last_pieces.get(text)
-        if known is not None:
-            return known
+    def _path(self, text: str) -> Path:
+        """The path to the end of a beginning of a stretch. Longer pieces are tried first,
+        and only the paths to positions that one of them leaves are asked for."""
+        path = self.paths.get(text)
+        if path is not None:
+            return path
+        if not text:
+            return (), "", self._followers("")
         suffixes, pieces = self.v.suffixes, []
         for start in range(len(text) - 1, -1, -1):
             piece = text[start:]
@@ -243,122 +252,133 @@ class Encoder:
                 break
             if whole:
                 pieces.append(piece)
-        last = text[-1]  # outside the vocabulary if there are no pieces
         for piece in reversed(pieces):
-            before = self._last_piece(text[: -len(piece)])
-            followers = self._followers(before if before in suffixes else "")
+            ids, before, followers = self._path(text[: -len(piece)])
             apart = followers.get(piece)
             if apart is None:
-                apart = followers[piece] = self._stay_apart(before if before in suffixes else "", piece)
+                apart = followers[piece] = self._stay_apart(before, piece)
                 self.pairs += 1
             if apart:
-                last = piece
+                path = (*ids, self.v.ids[piece]), piece, self._followers(piece)
                 break
-        self.last_pieces[text] = last
-        return last
-
-    def _short(self, text: str) -> array:
-        """As ``search``, for a stretch short enough to remember."""
-        if len(self.last_pieces) >= BEGINNINGS:
-            self.last_pieces = {"": ""}
-        ids: list[int] = []
-        rest = text
-        while rest:
-            piece = self._last_piece(rest)
-            i = self.v.ids.get(piece)
-            if i is None:
-                octets = piece.encode("utf-8", "surrogatepass")
-                ids += [self.v.byte_ids[octet] for octet in reversed(octets)]
-            else:
-                ids.append(i)
-            rest = rest[: -len(piece)]
-        return array("i", reversed(ids))
-
-    def _stretch(self, text: str) -> array:
+        else:  # a character outside the vocabulary
+            octets = text[-1].encode("utf-8", "surrogatepass")
+            path = (*self._path(text[:-1])[0], *[self.v.byte_ids[o] for o in octets]), "", self._followers("")
+        self.paths[text] = path
+        return path
+
+    def _stretch(self, text: str) -> bytes:
+        """The ids of a stretch, as ``search`` gives them, four bytes each."""
         if len(text) > STRETCH:
-            return self.search(text)
+            return self.search(text).tobytes()
         ids = self.older.get(text)
         if ids is None:
-            ids = self._short(text)
+            if len(self.paths) >= BEGINNINGS:
+                self.paths.clear()
+            neighbours, begin, found = self.v.neighbours, 0, array("i")
+            for i in range(1, len(text)):
+                if text[i - 1 : i + 1] not in neighbours:
+                    found.extend(self._path(text[begin:i])[0])
+                    begin = i
+            found.extend(self._path(text[begin:])[0])
+            ids = found.tobytes()
         if len(self.stretches) >= REMEMBERED:
             self.older, self.stretches = self.stretches, {}
         self.stretches[text] = ids
         return ids
 
-    def __call__(self, text: str | None) -> array:
+    def __call__(self, text: str | None) -> np.ndarray:
         if not text:
-            return array("i")
+            return np.empty(0, np.int32)
         text = BLANK + text.replace(" ", BLANK)
         if not self.v.cuttable:
-            return self.search(text)
-        out = array("i")
-        for m in _STRETCHES.finditer(text):
-            ids = self.stretches.get(m[0])
-            out.extend(self._stretch(m[0]) if ids is None else ids)
-        return out
+            return np.frombuffer(self.search(text), np.int32)
+        new = self._stretch
+        # Looked up anew each time: ``_stretch`` may put another table in its place.
+        parts = [self.stretches.get(s) or new(s) for s in _STRETCHES.findall(text)]
+        return np.frombuffer(b"".join(parts), np.int32)
 
 
-def decode(ids: array | np.ndarray, texts: list[bytes]) -> str:
+def decode(ids: np.ndarray, texts: list[bytes]) -> str:
     """texts: ``Vocabulary.texts``."""
-    whole = b"".join(map(texts.__getitem__, ids)).decode("utf-8", "replace").replace(BLANK, " ")
-    return whole.removeprefix(" ")
+    whole = b"".join(map(texts.__getitem__, ids.tolist())).decode("utf-8", "replace")
+    return whole.replace(BLANK, " ").removeprefix(" ")
 
 
 def _shared(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast(load_vocabulary(path))  # the model's pieces
 
 
-IDS = T.ArrayType(T.IntegerType())
-ROUND_TRIP = T.StructType(
-    [
-        T.StructField("n_ids", T.LongType()),
-        T.StructField("ids", IDS),
-        T.StructField("decoded_sha256", T.StringType()),
-        T.StructField("round_trip", T.BooleanType()),
-    ]
-)
+def _lists(values: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *values])))
+
+
+def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list]]:
+    """The first column, and the second as a list, of a bounded number of rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, YIELDED):
+            part = batch.slice(at, YIELDED)
+            yield part.column(0), part.column(1).to_pylist()
+
+
+def _with_id(docs: DataFrame, *fields: T.StructField) -> T.StructType:
+    return T.StructType([docs.schema["doc_id"], *fields])
+
+
+IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
 def encoded(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, ids."""
     shared = _shared(docs, path)
 
-    @F.pandas_udf(IDS)
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
-        for batch in texts:
-            yield pd.Series([np.frombuffer(encoder(t), dtype=np.int32) for t in batch], dtype=object)
+        for doc_ids, texts in _in_parts(batches):
+            yield pa.RecordBatch.from_arrays([doc_ids, _lists([encoder(t) for t in texts])], ["doc_id", "ids"])
 
-    return docs.select("doc_id", encode("text").alias("ids"))
+    return docs.select("doc_id", "text").mapInArrow(encode, _with_id(docs, IDS))
 
 
 def decoded(rows: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, text; rows: doc_id, ids. Null ids give a null text."""
     shared = _shared(rows, path)
 
-    @F.pandas_udf(T.StringType())
-    def back(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in lists:
-            yield pd.Series([None if ids is None else decode(ids, shared.value.texts) for ids in batch])
+    def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = shared.value.texts
+        for doc_ids, lists in _in_parts(batches):
+            found = [None if ids is None else decode(np.array(ids, np.int32), texts) for ids in lists]
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(found, pa.string())], ["doc_id", "text"])
 
-    return rows.select("doc_id", back("ids").alias("text"))
+    return rows.select("doc_id", "ids").mapInArrow(back, _with_id(rows, T.StructField("text", T.StringType())))
 
 
 def round_trips(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, n_ids, ids, decoded_sha256 of the text the ids decode to, and
     whether that is the text."""
     shared = _shared(docs, path)
+    schema = _with_id(
+        docs,
+        T.StructField("n_ids", T.LongType()),
+        IDS,
+        T.StructField("decoded_sha256", T.StringType()),
+        T.StructField("round_trip", T.BooleanType()),
+    )
 
-    @F.pandas_udf(ROUND_TRIP)
-    def both_ways(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def both_ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
-        for batch in texts:
-            rows = []
-            for text in batch:
-                ids = encoder(text)
-                back = decode(ids, shared.value.texts)
-                digest = hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest()
-                rows.append((len(ids), np.frombuffer(ids, dtype=np.int32), digest, back == (text or "")))
-            yield pd.DataFrame(rows, columns=ROUND_TRIP.names)
-
-    return docs.select("doc_id", both_ways("text").alias("r")).select("doc_id", "r.*")
+        for doc_ids, texts in _in_parts(batches):
+            lists = [encoder(t) for t in texts]
+            backs = [decode(ids, shared.value.texts) for ids in lists]
+            digests = [hashlib.sha256(b.encode("utf-8", "surrogatepass")).hexdigest() for b in backs]
+            columns = [
+                doc_ids,
+                pa.array([len(ids) for ids in lists], pa.int64()),
+                _lists(lists),
+                pa.array(digests, pa.string()),
+                pa.array([b == (t or "") for b, t in zip(backs, texts)], pa.bool_()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return docs.select("doc_id", "text").mapInArrow(both_ways, schema)
