@@ -41,13 +41,16 @@ def attributes(columns: Sequence[str]) -> Column:
     return F.map_filter(F.create_map(*entries), lambda _, value: value.isNotNull())
 
 
-Years = int | str | Sequence[int | str]
+Years = int | str | Sequence[int | str] | None
 
 
 def dated_rows(rows: DataFrame, years: Years) -> DataFrame:
-    """Rows whose ``Year`` equals, as text, a wanted year; ``station_day`` is null for a bad date."""
-    texts = [str(y) for y in ([years] if isinstance(years, (int, str)) else years)]
-    wanted = rows.where(column(STATION_YEAR).isin(*texts))
+    """Rows whose ``Year`` equals, as text, a wanted year (``None``: all rows);
+    ``station_day`` is null for a bad date."""
+    wanted = rows
+    if years is not None:
+        texts = [str(y) for y in ([years] if isinstance(years, (int, str)) else years)]
+        wanted = rows.where(column(STATION_YEAR).isin(*texts))
     return wanted.withColumn("station_day", short_date(column(STATION_DATE)))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockglass.operators.climate import (
     Years,
@@ -18,16 +18,24 @@ from stockglass.operators.climate import (
 from stockglass.operators.combine import with_row_index
 from stockglass.sinks.export import export_csv
 from stockglass.sources.csv_set import SPLIT_KEYS, read_csv_set, read_station_files
-from stockglass.sources.items import ensure_items_table, read_items, upsert_items
+from stockglass.sources.items import (
+    count_batch,
+    ensure_items_table,
+    read_items,
+    sync_items_table,
+    upsert_items,
+)
 from stockglass.sources.landing import list_landing
 
 
 @dataclass(frozen=True)
 class LoadReport:
-    """``rows`` wanted, of which ``rejected`` had no readable date."""
+    """``rows`` wanted; ``rejected`` had no readable date, ``duplicates`` gave way to a
+    later row of their key."""
 
     rows: int
     rejected: int
+    duplicates: int
 
 
 def combine_stations(
@@ -55,23 +63,20 @@ def load_stations(
     batch_id: int,
     rejects_path: str | None = None,
 ) -> LoadReport:
-    """Upserts the rows of the wanted years as one batch and counts the rejects on the way.
+    """Upserts the rows of the wanted years as one batch, which may be empty, and counts.
 
-    Rejected rows are written to ``rejects_path``, which reads the input a
-    second time, but only if there are any.
+    The counts are an aggregate of their own over two columns: adaptive execution
+    can drop an observation together with an empty plan. Rejected rows are written
+    to ``rejects_path``, which reads the input once more, but only if there are any.
     """
-    seen = Observation()
     dated = dated_rows(rows, years)
-    counted = dated.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("station_day").isNull()).alias("rejected"),
-    )
-    upsert_items(to_items(counted), items_path, batch_id)
-    report = LoadReport(seen.get["rows"], seen.get["rejected"])
-    if rejects_path and report.rejected:
+    bad = F.count_if(F.col("station_day").isNull())
+    seen, rejected = dated.agg(F.count(F.lit(1)), bad).first()
+    if rejects_path and rejected:
         to_rejects(dated).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
-    return report
+    upsert_items(to_items(dated), items_path, batch_id)
+    stored = count_batch(rows.sparkSession, items_path, batch_id)
+    return LoadReport(seen, rejected, seen - rejected - stored)
 
 
 def load_station_file(
@@ -91,7 +96,7 @@ def load_station_file(
         read_station_files(spark, path), years, items_path, batch_id, rejects_path
     )
     if table:
-        spark.catalog.recoverPartitions(table)
+        sync_items_table(spark, table)
     return report
 
 

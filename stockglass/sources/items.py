@@ -1,9 +1,9 @@
 """The keyed item table: ``(year, date)`` -> attributes, kept as a log of batches.
 
 Plain Parquet cannot be changed in place while it is read, so every batch
-writes its own ``year=/batch_id=`` directories, holding each key at most once.
-Writing a batch again replaces exactly that batch, hence a replay changes
-nothing. Readers see, per key, the whole item of the highest batch.
+writes its own ``batch_id=`` directory, by year inside, holding each key at most
+once. Writing a batch again replaces the whole directory, years it no longer has
+included. Readers see, per key, the whole item of the highest batch.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ LOG_SCHEMA = T.StructType(
     [
         T.StructField("date", T.StringType()),
         T.StructField("attributes", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("year", T.StringType()),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("year", T.StringType()),
     ]
 )
 
@@ -26,29 +26,42 @@ LOG_SCHEMA = T.StructType(
 def ensure_items_table(spark: SparkSession, name: str, path: str) -> None:
     """Registers the log under ``name`` unless a table of that name exists.
 
-    After a load ``spark.catalog.recoverPartitions`` makes new batches known.
+    After a load :func:`sync_items_table` makes its batches known.
     """
     quoted_path = path.replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ("
         "date STRING, attributes MAP<STRING, STRING>, year STRING, batch_id BIGINT"
-        f") USING parquet PARTITIONED BY (year, batch_id) LOCATION '{quoted_path}'"
+        f") USING parquet PARTITIONED BY (batch_id, year) LOCATION '{quoted_path}'"
     )
 
 
+def sync_items_table(spark: SparkSession, name: str) -> None:
+    """Makes new years and batches known to the catalog and forgets those that are gone."""
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
+def batch_path(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/batch_id={batch_id}"
+
+
 def upsert_items(items: DataFrame, path: str, batch_id: int) -> None:
     """Puts whole items; the last one of a key wins, in the batch and over earlier batches."""
     (
         last_per_key(items)
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .hint("rebalance", "year")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "batch_id")
-        .parquet(path)
+        .partitionBy("year")
+        .parquet(batch_path(path, batch_id))
     )
 
 
+def count_batch(spark: SparkSession, path: str, batch_id: int) -> int:
+    """How many items a batch holds, from the file footers."""
+    return read_log(spark, path).where(F.col("batch_id") == batch_id).count()
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The batches as written; empty if nothing has been written yet."""
     try:
@@ -73,7 +86,7 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def next_batch_id(spark: SparkSession, path: str) -> int:
-    """One above the highest batch in the log. Reads partition values only."""
+    """One above the highest batch in the log. Opens its files, but reads no column."""
     highest = read_log(spark, path).agg(F.max("batch_id")).first()[0]
     return 0 if highest is None else highest + 1
 

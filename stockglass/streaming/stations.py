@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import astuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +12,8 @@ from stockglass.operators.climate import Years
 from stockglass.plans.stations import load_stations
 from stockglass.sources.csv_set import ARRIVAL, file_arrival, row_arrival
 
+REPORT = "rows bigint, rejected bigint, duplicates bigint"
+
 
 def station_stream(
     spark: SparkSession, source: str, columns: Sequence[str], files_per_batch: int | None = None
@@ -43,6 +46,7 @@ def start_station_load(
     checkpoint: str,
     *,
     rejects_path: str | None = None,
+    reports_path: str | None = None,
     first_batch_id: int = 0,
     files_per_batch: int | None = None,
     available_now: bool = True,
@@ -51,12 +55,19 @@ def start_station_load(
 
     Batch numbers start at ``first_batch_id``: a new checkpoint over an
     existing log must start above it (:func:`next_batch_id`). A batch that is
-    run again after a failure overwrites only itself.
+    run again after a failure overwrites only itself. A batch without a wanted
+    row is an empty batch. Rejected rows and one report a batch are kept, beside
+    the log (``-rejects`` and ``-reports``) unless paths are given.
     """
+    beside = items_path.rstrip("/")
+    rejects, reports = rejects_path or f"{beside}-rejects", reports_path or f"{beside}-reports"
 
     def load(batch: DataFrame, batch_number: int) -> None:
         rows = batch.withColumn(ARRIVAL, row_arrival(F.col(ARRIVAL)))
-        load_stations(rows, years, items_path, first_batch_id + batch_number, rejects_path)
+        batch_id = first_batch_id + batch_number
+        report = load_stations(rows, years, items_path, batch_id, rejects)
+        kept = batch.sparkSession.createDataFrame([astuple(report)], REPORT)
+        kept.write.mode("overwrite").parquet(f"{reports}/batch_id={batch_id}")
 
     writer = (
         station_stream(spark, source, columns, files_per_batch)
