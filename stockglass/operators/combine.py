@@ -10,9 +10,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from stockglass.functions.names import column
 from stockglass.session import cut_lineage
 
-# A split table of up to this many rows (about 150 bytes each) is broadcast.
-_BROADCAST_SPLITS = 500_000
-
 
 def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
     """All rows of all parts, matched by column name; a column a part lacks is null there.
@@ -44,6 +41,8 @@ def with_row_index(
     they are dropped. Each row's position is fixed by a checkpoint first. Then
     only one count per split is put in order, never the rows: a row's number is
     the rows of earlier splits plus its distance from the first row of its own.
+    The checkpoint costs one write and one read of all rows. How the offsets are
+    joined is left to Spark.
     """
     keys = [*split_keys, "part_of_read"]
     marked = cut_lineage(
@@ -60,8 +59,6 @@ def with_row_index(
             "rows_before", F.coalesce(F.sum("rows_of_split").over(earlier), F.lit(0))
         ).drop("rows_of_split")
     )
-    if offsets.count() <= _BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
     position = F.col("rows_before") + F.col("read_position") - F.col("first_position")
     return marked.join(offsets, keys, "inner").select(
         position.alias(name),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -23,8 +25,8 @@ MISSING_TEXTS = (
 def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
     """Header line -> the files that begin with it, both sorted by path.
 
-    Spark reads the files as text with one split per task, and each task stops
-    after its first row. One row per file reaches the driver, which lists the
+    Spark reads the files as text, one per task, and each task stops after its
+    first row. One row per file reaches the driver, which lists the
     files for the scan anyway.
     """
 
@@ -35,26 +37,29 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, l
                 yield batch.slice(0, 1)
                 return
 
-    open_cost, split_size = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(open_cost)
-    # A file costs a whole split to open, so Spark never packs two into a task.
-    spark.conf.set(open_cost, spark.conf.get(split_size))
-    try:
-        lines = (
-            spark.read.text(paths)
-            .select("_metadata.file_path", "_metadata.file_block_start", "value")
-            .mapInArrow(first_row, "file_path string, file_block_start bigint, value string")
-            .where("file_block_start = 0")
-            .collect()
-        )
-    finally:
-        spark.conf.set(open_cost, before)
+    # A session of its own, so that no other query plans with these settings: no file
+    # is split, and none shares a task with another.
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
+    apart.conf.set("spark.sql.files.openCostInBytes", str(1 << 50))
+    lines = (
+        apart.read.text(paths)
+        .select("_metadata.file_path", "value")
+        .mapInArrow(first_row, "file_path string, value string")
+        .collect()
+    )
     groups: dict[str, list[str]] = {}
     for row in sorted(lines, key=lambda r: r.file_path):
-        groups.setdefault(row.value.rstrip("\r"), []).append(row.file_path)
+        groups.setdefault(row.value.rstrip("\r"), []).append(plain_path(row.file_path))
     return groups
 
 
+def plain_path(uri: str) -> str:
+    """A file's path as Spark's readers take it: the metadata has it encoded as in a URI,
+    and a reader takes brackets and stars for patterns."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
 def file_arrival() -> Column:
     """Order of arrival of a row's file."""
     return F.struct(
@@ -74,12 +79,14 @@ def _read_group(
     paths: Sequence[str],
     missing: Sequence[str],
     extra: Sequence[Column],
+    multi_line: bool,
 ) -> DataFrame:
     fields = [f"field_{i}" for i in range(len(names))]
     rows = (
         spark.read.schema(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
         .option("header", True)
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(list(paths))
     )
 
@@ -96,13 +103,14 @@ def read_csv_set(
     missing: Sequence[str] = MISSING_TEXTS,
     with_arrival: bool = False,
     with_split: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All rows of all files, columns matched by name. Values stay text.
 
     A plain read of such files goes by position and mixes columns up. Here
     files with the same header are read together, so the plan grows with the
-    number of distinct headers, not of files. A header or value must not span
-    lines, so that files can be split.
+    number of distinct headers, not of files. A header must not span lines. Values
+    may with ``multi_line``; files are then not split.
     """
     extra: list[Column] = []
     if with_arrival:
@@ -115,7 +123,7 @@ def read_csv_set(
     by_names: dict[tuple[str, ...], list[str]] = {}
     for line, files in file_headers(spark, paths).items():
         by_names.setdefault(tuple(header_names(line)), []).extend(files)
-    parts = [_read_group(spark, n, files, missing, extra) for n, files in by_names.items()]
+    parts = [_read_group(spark, n, files, missing, extra, multi_line) for n, files in by_names.items()]
     combined = union_by_name(parts)
     tail = [c for c in combined.columns if c == ARRIVAL or c in SPLIT_KEYS]
     return combined.select(
