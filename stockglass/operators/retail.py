@@ -126,35 +126,20 @@ def flag_last_of_week(
 
 
 def _number(df: DataFrame, name: str) -> Column:
-    """The column as a number; text that is no number becomes null."""
+    """The column as a number. Text is read as a double, whatever its size or scale; text
+    that is no number becomes null."""
     if isinstance(df.schema[name].dataType, T.StringType):
-        return F.col(name).try_cast("decimal(18,4)")
+        return F.col(name).try_cast("double")
     return F.col(name)
 
 
-def _sales_by_quantity(sales: DataFrame) -> DataFrame:
-    """Sales rows of one product, store and day with equal quantity, folded into one.
-
-    The quantity is kept because the low-stock flag compares it row by row;
-    everything else the summary needs is a sum or a count. A key that holds a
-    third of all rows leaves each map task as a handful of rows.
-    """
-    amount = _number(sales, "sales_amt")
-    return sales.groupBy(*FACT_KEYS, "sales_qty").agg(
-        F.count(F.lit(1)).alias("sale_rows"),
-        F.sum(amount).alias("amount"),
-        F.count(amount).alias("amount_rows"),
-        F.sum(_number(sales, "sales_cost")).alias("cost"),
-    )
-
-
 def _readings_by_level(inventory: DataFrame) -> DataFrame:
     """Readings of one product, store and day with equal on-hand quantity, folded into one.
 
     Proper inventory has one reading per key. Should a key repeat, the join
     meets its distinct levels only, not every pair of rows.
     """
-    flag = F.col("out_of_stock_flg").try_cast("int")
+    flag = _number(inventory, "out_of_stock_flg").try_cast("int")
     return (
         _readings(inventory)
         .groupBy(*FACT_KEYS, "inventory_on_hand_qty")
@@ -176,56 +161,51 @@ def weekly_summary(
 ) -> DataFrame:
     """Sales, end-of-week stock and stock-out impact per week, store and product.
 
-    Equal to flagging the daily fact and aggregating it, but no fact row is
-    ever built: both sides are folded by quantity first and carry their row
-    counts as weights. What meets in the join is summed per reading, where the
-    rows already are, then per week. The last day of the week is chosen after
-    that from seven sums, one per day. Hence no window and no second pass over
-    the join.
+    Equal to flagging the daily fact and aggregating it. Repeated readings are
+    folded first and carry their row count as a weight. The join is that of the
+    daily fact, so Spark can split a hot key however many quantities it has, and
+    its rows are combined per week before they are shuffled. The last day of the
+    week is chosen after that from seven sums, one per day. Hence no window and no
+    second pass over the join.
     """
-    joined = _readings_by_level(inventory).join(
-        _sales_by_quantity(sales), list(FACT_KEYS), "inner"
+    sold = sales.select(
+        *FACT_KEYS,
+        "sales_qty",
+        _number(sales, "sales_qty").alias("qty"),
+        _number(sales, "sales_amt").alias("amount"),
+        _number(sales, "sales_cost").alias("cost"),
     )
-    # Text columns are summed as numbers, but compared as they are.
-    met = (
-        joined.select(
-            *joined.columns,
-            low_stock(compare_as_text).alias("low"),
-            _number(joined, "sales_qty").alias("qty"),
-            _number(joined, "inventory_on_hand_qty").alias("on_hand"),
-        )
-        .groupBy(*FACT_KEYS, "on_hand", "on_order", "out_flags", "out_rows", "reading_rows")
-        .agg(
-            F.expr("sum(sale_rows) AS sale_rows"),
-            F.expr("sum(qty * sale_rows) AS qty"),
-            F.expr("sum(amount) AS amount"),
-            F.expr("sum(cost) AS cost"),
-            F.expr("sum(low * sale_rows) AS low_rows"),
-            F.expr("sum(low * amount_rows) AS low_amount_rows"),
-            F.expr("sum(CASE WHEN low = 1 THEN amount END) AS low_amount"),
-        )
+    readings = _readings_by_level(inventory)
+    readings = readings.withColumns(
+        {
+            "on_hand": _number(readings, "inventory_on_hand_qty"),
+            "reading_rows": F.col("reading_rows").cast("int"),
+            "out_rows": F.col("out_rows").cast("int"),
+        }
     )
     day = F.col("trans_dt")
+    met = daily_fact(sold, readings).withColumns(
+        {
+            # Text columns are summed as numbers, but compared as they are.
+            "low": low_stock(compare_as_text),
+            "wk_timestamp": week_start(day),
+            "rank": closing_rank(day, week_end),
+        }
+    )
     # Each reading counts once per sales row, each sales row once per reading.
-    fact = met.select(
-        *met.columns,
-        week_start(day).alias("wk_timestamp"),
-        closing_rank(day, week_end).alias("rank"),
-    ).selectExpr(
+    fact = met.selectExpr(
         *WEEK_KEYS,
         "rank",
         "qty * reading_rows AS qty",
         "amount * reading_rows AS amount",
         "cost * reading_rows AS cost",
-        "on_hand * (sale_rows * reading_rows) AS on_hand",
-        "on_order * sale_rows AS on_order",
-        "out_flags * sale_rows AS out_flags",
-        "low_rows * reading_rows AS low_flags",
+        "on_hand * reading_rows AS on_hand",
+        "on_order",
+        "out_flags",
+        "low * reading_rows AS low_flags",
+        "CASE WHEN low = 1 THEN amount - on_hand ELSE 0 END * reading_rows AS low_impact",
         # Rows without the flag count 0: an impact is null only if there are none of those.
-        """coalesce(low_amount - on_hand * low_amount_rows,
-                    CASE WHEN low_rows < sale_rows THEN 0 END) * reading_rows AS low_impact""",
-        """coalesce(amount * out_rows,
-                    CASE WHEN out_rows < reading_rows THEN 0 END) AS out_impact""",
+        "coalesce(amount * out_rows, CASE WHEN out_rows < reading_rows THEN 0 END) AS out_impact",
     )
     sums = ("qty", "amount", "cost", "out_flags", "low_flags", "low_impact", "out_impact")
     grouped = fact.groupBy(*WEEK_KEYS).agg(
