@@ -11,15 +11,20 @@ from stockglass.schemas import REQUIRED_TABLES
 
 
 def landed_files(
-    listing: DataFrame, prefix: str = "", required: Sequence[str] = REQUIRED_TABLES
+    listing: DataFrame,
+    prefix: str = "",
+    required: Sequence[str] = REQUIRED_TABLES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``table_name`` and ``file_date`` of the files named ``{prefix}/{table}_{date}.csv``."""
+    """``table_name`` and ``file_date`` of the files ``{prefix}/{table}_{date}.csv``, or of
+    the parts in a folder of that name; also the listing's columns ``keep``."""
     tables = "|".join(re.escape(t) for t in required)
     folder = f"(?:^|/){re.escape(prefix.strip('/'))}/" if prefix else "(?:^|/)"
-    pattern = rf"{folder}({tables})_([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})\.csv$"
+    pattern = rf"{folder}({tables})_([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})\.csv(?:/[^/_.][^/]*)?$"
     return listing.select(
         F.regexp_extract("path", pattern, 1).alias("table_name"),
         F.regexp_extract("path", pattern, 2).alias("file_date"),
+        *keep,
     ).where(F.col("table_name") != "")
 
 
@@ -45,10 +50,13 @@ def missing_files(
     prefix: str = "",
     required: Sequence[str] = REQUIRED_TABLES,
 ) -> DataFrame:
-    """Required files that are not in the listing, for ``dates.file_date`` or every listed date."""
-    landed = landed_files(listing, prefix, required)
-    wanted = (landed if dates is None else dates).select("file_date").distinct()
-    needed = wanted.select(
-        "file_date", F.explode(F.array(*[F.lit(t) for t in required])).alias("table_name")
-    )
-    return needed.join(landed.distinct(), ["file_date", "table_name"], "left_anti")
+    """Required files that are not in the listing, for ``dates.file_date`` or every listed date.
+
+    One aggregation of the listing by date; given dates without any file lack all.
+    """
+    seen = completeness(listing, prefix, required).select("file_date", "missing")
+    if dates is not None:
+        everything = F.array(*[F.lit(t) for t in required])
+        seen = dates.select("file_date").distinct().join(seen, "file_date", "left")
+        seen = seen.select("file_date", F.coalesce("missing", everything).alias("missing"))
+    return seen.select("file_date", F.explode("missing").alias("table_name"))

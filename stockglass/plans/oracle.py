@@ -254,6 +254,7 @@ ORACLE_SQL: dict[str, str] = {
     "dq_between": _raw("inventory_raw") + _results(_inventory_rules("inventory_raw")[3]),
     "dq_unique": _raw("sales_raw") + _results(_sales_rules("sales_raw")[0]),
     "dq_suite_inventory": _raw("inventory_raw") + _INVENTORY_RESULTS,
+    "dq_suite_table": _raw("inventory_raw") + _INVENTORY_RESULTS,
     "dq_suite_sales": _raw("sales_raw") + _SALES_RESULTS,
     "dq_suite_summary": f"""WITH{_INVENTORY_RAW},{_SALES_RAW},
         results AS ({_INVENTORY_RESULTS} UNION ALL {_SALES_RESULTS}),
@@ -318,9 +319,10 @@ ORACLE_SQL: dict[str, str] = {
         SELECT {_ITEM_COLUMNS} FROM items {_IN_RANGE} ORDER BY "date" """,
     "climate_upsert_latest": f"""WITH{_CLIMATE},
         item_log AS (
-          SELECT 0 AS batch_id, {_ITEM_COLUMNS} FROM items WHERE "year" IN ('1995', '1996')
+          SELECT 0 AS batch_id, {_ITEM_COLUMNS} FROM items
           UNION ALL
-          SELECT 1, "year", "date", NULL, 'new ' || "max-temp-c" FROM items WHERE "year" = '1996'
+          SELECT 1, "year", "date", NULL, 'new ' || "max-temp-c" FROM items
+          WHERE CAST("year" AS INTEGER) % 2 = 0 AND "year" <> '1998'
         ),
         ranked AS (
           SELECT *, row_number() OVER (PARTITION BY "year", "date" ORDER BY batch_id DESC) AS rn
@@ -336,20 +338,11 @@ ORACLE_SQL: dict[str, str] = {
         FROM climate""",
     "union_csv_with_index": f"""WITH{_CLIMATE},
         placed AS (
-          SELECT CASE WHEN station_year = '1997' THEN '1997'
-                      WHEN CAST(station_year AS INTEGER) % 2 = 1 THEN 'odd' ELSE 'even' END
-                   AS layout, date_text
+          SELECT CASE WHEN CAST(station_year AS INTEGER) % 2 = 1 THEN 'a odd' ELSE 'b [even]' END
+                   AS kind, date_text, day
           FROM climate
-        ),
-        per_layout AS (
-          SELECT layout, count(*) AS n, count(DISTINCT date_text) AS distinct_dates,
-                 CASE layout WHEN 'odd' THEN 1 WHEN '1997' THEN 2 ELSE 3 END AS place
-          FROM placed GROUP BY layout
         )
-        SELECT layout, CAST(sum(n) OVER up_to - n AS BIGINT) AS first_index,
-               CAST(sum(n) OVER up_to - 1 AS BIGINT) AS last_index, n AS distinct_indexes,
-               distinct_dates
-        FROM per_layout WINDOW up_to AS (ORDER BY place)""",
+        SELECT row_number() OVER (ORDER BY kind, day) - 1 AS row_index, kind, date_text FROM placed""",
     "scan_landing_csv": f"""WITH{_INVENTORY}
         SELECT cal_dt, store_key, prod_key, inventory_on_hand_qty, inventory_on_order_qty,
                out_of_stock_flg
@@ -362,14 +355,30 @@ ORACLE_SQL: dict[str, str] = {
         FROM wanted w LEFT JOIN listed l
           ON w.file_date = l.file_date AND w.table_name = l.table_name
         GROUP BY w.file_date HAVING count(l.table_name) > 0""",
-    "landing_missing": f"""WITH{_LISTING}
-        SELECT w.file_date, w.table_name FROM wanted w
-        WHERE w.file_date IN (SELECT file_date FROM listed)
-          AND NOT EXISTS (SELECT 1 FROM listed l
-                          WHERE l.file_date = w.file_date AND l.table_name = w.table_name)""",
-    "landing_file_sizes": f"""WITH{_INVENTORY}
-        SELECT 'inventory' AS table_name, count(*) > 0 AS all_have_bytes FROM inventory
-        UNION ALL SELECT 'sales', count(*) > 0 FROM sales""",
+    "landing_missing": f"""WITH{_LISTING},
+        days AS (SELECT DISTINCT file_date FROM listed)
+        SELECT w.file_date, w.table_name
+        FROM wanted w JOIN days d ON w.file_date = d.file_date
+        LEFT JOIN listed l ON w.file_date = l.file_date AND w.table_name = l.table_name
+        WHERE l.table_name IS NULL""",
+    "landing_file_sizes": f"""WITH{_INVENTORY},
+        lines AS (
+          SELECT 'inventory' AS table_name, concat_ws(',', cal_dt, store_key, prod_key,
+                   CAST(inventory_on_hand_qty AS DECIMAL(12,2)),
+                   CAST(inventory_on_order_qty AS DECIMAL(12,2)), out_of_stock_flg) AS line
+          FROM inventory
+          UNION ALL
+          SELECT 'sales', concat_ws(',', trans_id, trans_dt, store_key, prod_key, sales_qty,
+                   sales_amt, sales_cost, discount) FROM sales
+        )
+        SELECT table_name, count(*) > 0 AS landed,
+               CAST(sum(strlen(line) + 1) AS BIGINT) AS row_bytes
+        FROM lines GROUP BY table_name""",
+    "landing_gate": """WITH dims AS (
+          SELECT (SELECT count(*) FROM part) + (SELECT count(*) FROM region)
+                 + (SELECT count(DISTINCT CAST(l_shipdate AS DATE)) FROM lineitem) AS n)
+        SELECT '2002-01-01' AS file_date, '' AS missing, CAST(n AS BIGINT) AS published_rows FROM dims
+        UNION ALL SELECT '2002-01-02', 'sales', 0""",
     "publish_archive": f"""WITH{_weekly()}
         SELECT summary.*, days.weekly_summary FROM summary
         CROSS JOIN (VALUES (DATE '2002-01-01'), (DATE '2002-01-02')) AS days(weekly_summary)""",
@@ -379,13 +388,19 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum(low_stock_instances) AS BIGINT) AS low_stock_instances,
                max(stock_level_EOW) AS highest_stock_level
         FROM summary GROUP BY store_key""",
-    "publish_dimensions": """WITH dims AS (
-          SELECT 'product' AS table_name,
-                 CAST(p_partkey AS VARCHAR) || '|' || p_name || '|' || p_brand AS row_text
+    "publish_dimensions": r"""WITH dims AS (
+          SELECT 'product' AS table_name, CAST(p_partkey AS VARCHAR) AS value_1,
+                 p_name AS value_2, p_brand AS value_3
           FROM part
-          UNION ALL SELECT 'store', CAST(r_regionkey AS VARCHAR) || '|' || r_name FROM region
-          UNION ALL SELECT DISTINCT 'calendar', strftime(l_shipdate, '%Y-%m-%d') FROM lineitem
+          UNION ALL
+          SELECT 'store', CAST(r_regionkey AS VARCHAR),
+                 CASE r_regionkey % 5 WHEN 0 THEN r_name || ' "hi", ok'
+                   WHEN 1 THEN r_name || chr(10) || 'line'
+                   WHEN 2 THEN ' ' || r_name || chr(92) || ' '
+                   WHEN 3 THEN '' END, NULL
+          FROM region
+          UNION ALL SELECT DISTINCT 'calendar', strftime(l_shipdate, '%Y-%m-%d'), NULL, NULL FROM lineitem
         )
-        SELECT table_name, copies.copy AS "copy", row_text FROM dims
+        SELECT table_name, copies.copy AS "copy", value_1, value_2, value_3 FROM dims
         CROSS JOIN (VALUES ('archive'), ('current')) AS copies(copy)""",
 }

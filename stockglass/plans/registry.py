@@ -18,19 +18,20 @@ from stockglass.functions.text import has_text
 from stockglass.functions.weeks import DATE
 from stockglass.operators import climate as cl, combine, landing, quality as dq, retail
 from stockglass.plans import standins as st
+from stockglass.plans.gate import run_gate
 from stockglass.plans.stations import combine_stations, extract_range, load_stations
 from stockglass.plans.weekly import run_weekly
 from stockglass.schemas import INVENTORY, SALES, STATION_DATE, STATION_YEAR
 from stockglass.session import scratch_dir
 from stockglass.sinks import publish
 from stockglass.sources.csv_set import SPLIT_KEYS, read_csv_set
-from stockglass.sources.items import ensure_items_table, latest_items, read_items
-from stockglass.sources.landing import landing_path, list_landing, read_landing
+from stockglass.sources.items import ensure_items_table, latest_items, read_items, sync_items_table
+from stockglass.sources.landing import NULL_TEXT, landing_path, list_landing, read_landing
+from stockglass.sources.warehouse import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_DATE = "2002-01-01"
-YEARS = tuple(range(1995, 2002))
 RANGE = (1996, "1996-02-15", "1996-10-20")
 
 
@@ -192,7 +193,7 @@ def climate_date_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def climate_sparse_attributes(spark: SparkSession, sf: str) -> DataFrame:
-    items, _ = cl.station_items(st.climate(spark, sf), YEARS)
+    items, _ = cl.station_items(st.climate(spark, sf), None)
     return cl.explode_items(items)
 
 
@@ -205,7 +206,7 @@ def climate_year_load(spark: SparkSession, sf: str) -> DataFrame:
 
 def _all_items(spark: SparkSession, sf: str) -> str:
     path = scratch_dir(spark, "items")
-    load_stations(st.climate(spark, sf), YEARS, path, 0)
+    load_stations(st.climate(spark, sf), None, path, 0)
     return path
 
 
@@ -213,19 +214,32 @@ def climate_range_query(spark: SparkSession, sf: str) -> DataFrame:
     return cl.to_wide(cl.range_query(read_items(spark, _all_items(spark, sf)), *RANGE))
 
 
+def _unregistered(result: DataFrame, name: str) -> DataFrame:
+    """The result, computed, after which the table it came from leaves the catalog."""
+    spark, path = result.sparkSession, scratch_dir(result.sparkSession, "result")
+    result.write.parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(result.schema).parquet(path)
+
+
 def climate_upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
-    """1995 and 1996 as the first batch; new values for 1996, without a quality, as the second."""
+    """All years as the first batch; new values of even years, without a quality, as the
+    second, which is written twice: first of all even years, then without 1998."""
     path = scratch_dir(spark, "items")
     name = "items_" + path.rsplit("-", 1)[1]
     ensure_items_table(spark, name, path)
     rows = st.climate(spark, sf)
-    load_stations(rows, (1995, 1996), path, 0)
-    renewed = rows.withColumn(
-        "Max Temp (°C)", F.concat(F.lit("new "), column("Max Temp (°C)"))
-    ).drop("Data Quality")
-    load_stations(renewed, 1996, path, 1)
-    spark.catalog.recoverPartitions(name)
-    return cl.to_wide(latest_items(spark.table(name)), ["data-quality", "max-temp-c"])
+    load_stations(rows, None, path, 0)
+    year = column(STATION_YEAR).cast("int")
+    renewed = (
+        rows.where(year % 2 == 0)
+        .withColumn("Max Temp (°C)", F.concat(F.lit("new "), column("Max Temp (°C)")))
+        .drop("Data Quality")
+    )
+    load_stations(renewed, None, path, 1)
+    load_stations(renewed.where(year != 1998), None, path, 1)
+    sync_items_table(spark, name)
+    return _unregistered(cl.to_wide(latest_items(spark.table(name)), ["data-quality", "max-temp-c"]), name)
 
 
 def climate_export_csv(spark: SparkSession, sf: str) -> DataFrame:
@@ -239,19 +253,30 @@ def _write_csv(df: DataFrame, path: str) -> None:
         df.write.option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("escape", '"')
         .csv(path)
     )
 
 
 def climate_stream_load(spark: SparkSession, sf: str) -> DataFrame:
-    """All station rows as arriving files, streamed into the item log."""
+    """All station rows as arriving files, streamed into the item log one file at a time;
+    the years do not include that of one of the files."""
     from stockglass.streaming.stations import start_station_load
 
     source, path = scratch_dir(spark, "arriving"), scratch_dir(spark, "items")
     rows = st.climate(spark, sf)
-    _write_csv(rows.hint("rebalance", STATION_YEAR), source)
+    _write_csv(rows.hint("rebalance", STATION_YEAR), f"{source}/rows")
+    strange = rows.withColumn(STATION_YEAR, F.concat(F.lit("no "), column(STATION_YEAR)))
+    _write_csv(strange.coalesce(1), f"{source}/strange")
+    years = [r[0] for r in rows.select(column(STATION_YEAR)).distinct().collect()]
     query = start_station_load(
-        spark, source, rows.columns, YEARS, path, scratch_dir(spark, "stream")
+        spark,
+        f"{source}/*",
+        rows.columns,
+        years,
+        path,
+        scratch_dir(spark, "stream"),
+        files_per_batch=1,
     )
     query.awaitTermination()
     return cl.to_wide(read_items(spark, path))
@@ -281,19 +306,19 @@ def union_csv_by_name(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def union_csv_with_index(spark: SparkSession, sf: str) -> DataFrame:
-    """How the row numbers spread over the three kinds of files, in the order of their paths."""
-    files = _write_station_set(spark, sf)
-    rows = combine.with_row_index(
-        read_csv_set(spark, files, missing=(), with_split=True), SPLIT_KEYS
-    )
-    year = column(STATION_YEAR).cast("int")
-    layout = F.when(year == 1997, "1997").when(year % 2 == 1, "odd").otherwise("even")
-    return rows.groupBy(layout.alias("layout")).agg(
-        F.min("row_index").alias("first_index"),
-        F.max("row_index").alias("last_index"),
-        F.count_distinct("row_index").alias("distinct_indexes"),
-        F.count_distinct(column(STATION_DATE)).alias("distinct_dates"),
-    )
+    """Every row with its number beside the number it should have: files with a row
+    for a line hold their line numbers, and come in the order of their paths."""
+    base = scratch_dir(spark, "numbered")
+    days = st.climate(spark, sf).select(column(STATION_YEAR).cast("int").alias("y"), F.col(f"`{STATION_DATE}`").alias("d"))
+    days = days.withColumn("day", short_date(F.col("d")))
+    for folder, wanted in (("a odd", "y % 2 = 1"), ("b [even]", "y % 2 = 0")):
+        # A few hundred rows a year, so one file for each kind holds a few thousand.
+        part = days.where(wanted).select(F.col("y").alias("Year"), "d", F.lit(folder).alias("kind"), "day")
+        one = part.coalesce(1).sortWithinPartitions("day").drop("day")
+        _write_csv(one if "odd" in folder else one.select("kind", "d", "Year"), f"{base}/{folder}")
+    files = f"{base}/*/*.csv"
+    rows = read_csv_set(spark, files, missing=(), with_split=True)
+    return combine.with_row_index(rows, SPLIT_KEYS).select("row_index", "kind", F.col("d").alias("date_text"))
 
 
 # Landing and publication
@@ -330,19 +355,52 @@ def _land_day(spark: SparkSession, sf: str) -> str:
 
 
 def landing_file_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    """The listing of a landing folder as data: files per table, and whether all hold bytes."""
-    base = _land_day(spark, sf)
-    files = list_landing(spark, f"{base}/*/*.csv")
-    return (
-        files.select(
-            F.regexp_extract("path", r"/([a-z]+)_[0-9-]+\.csv/[^/]*$", 1).alias("table_name"),
-            "length",
-        )
-        .groupBy("table_name")
-        .agg(F.bool_and(F.col("length") > 0).alias("all_have_bytes"))
+    """The listing of a landing folder as data: whether there are files, and how many
+    bytes they hold beside their header lines."""
+    files = list_landing(spark, f"{_land_day(spark, sf)}/*_{RUN_DATE}.csv")
+    named = landing.landed_files(files, keep=("length",))
+    headers = {"inventory": INVENTORY.names, "sales": SALES.names}
+    header = F.coalesce(*[F.when(F.col("table_name") == t, len(",".join(n)) + 1) for t, n in headers.items()])
+    return named.groupBy("table_name").agg(
+        (F.count(F.lit(1)) > 0).alias("landed"), F.sum(F.col("length") - header).alias("row_bytes")
     )
 
 
+def landing_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """A complete day and one without sales through the gate: what each lacks, and how many
+    dimension rows each published."""
+    base, result = _land_day(spark, sf), scratch_dir(spark, "result")
+    for name in publish.DIMENSION_TABLES:
+        _write_csv(st.dimension(spark, sf, name), landing_path(base, name, RUN_DATE))
+    later = "2002-01-02"
+    for name in (*publish.DIMENSION_TABLES, "inventory"):
+        day = read_landing(spark, base, name, RUN_DATE)
+        _write_csv(day, landing_path(base, name, later))
+    parts = []
+    for date in (RUN_DATE, later):
+        target = f"{result}/{date}"
+        lacks = run_gate(spark, base, f"{target}/archive", target, date)
+        copies = list_landing(spark, f"{target}/*.csv")
+        rows = [read_copy(spark, f"{target}/{t}.csv").agg(F.count(F.lit(1)).alias("n")) for t in publish.DIMENSION_TABLES] if not copies.isEmpty() else []
+        total = reduce(DataFrame.unionAll, rows).agg(F.sum("n")) if rows else spark.range(1).select(F.lit(0).cast("long"))
+        parts.append(total.toDF("published_rows").select(F.lit(date).alias("file_date"), F.lit(",".join(lacks)).alias("missing"), "published_rows"))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def read_copy(spark: SparkSession, path: str) -> DataFrame:
+    reader = spark.read.option("header", True).option("escape", '"').option("nullValue", NULL_TEXT)
+    return reader.option("multiLine", True).csv(path)
+
+
+def dq_suite_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The suite over a table registered in the catalog."""
+    path = scratch_dir(spark, "raw")
+    name = "raw_" + path.rsplit("-", 1)[1]
+    st.inventory_raw(spark, sf).write.parquet(path)
+    publish.register_table(spark, name, path)
+    return _unregistered(dq.run_suite(read_table(spark, name), dq.INVENTORY_SUITE), name)
+
+
 def publish_archive(spark: SparkSession, sf: str) -> DataFrame:
     """Two days archived, read back as one partitioned table."""
     archive = scratch_dir(spark, "archive")
@@ -369,7 +427,7 @@ def catalog_registered_summary(spark: SparkSession, sf: str) -> DataFrame:
     publish.publish_archive(weekly_inventory_summary(spark, sf), archive, RUN_DATE)
     name = "summary_" + archive.rsplit("-", 1)[1]
     publish.register_table(spark, name, archive)
-    return spark.sql(
+    rows = spark.sql(
         f"""
         SELECT store_key, weekly_summary, count(*) AS weeks_and_products,
                sum(low_stock_instances) AS low_stock_instances,
@@ -377,23 +435,24 @@ def catalog_registered_summary(spark: SparkSession, sf: str) -> DataFrame:
         FROM {name} GROUP BY store_key, weekly_summary
         """
     )
+    return _unregistered(rows, name)
 
 
 def publish_dimensions(spark: SparkSession, sf: str) -> DataFrame:
-    """Dimensions copied from landing; rows of both copies, all tables in one shape."""
+    """Dimensions copied from landing; rows of both copies, all tables in one shape. One
+    table has quotes, line breaks, backslashes, empty and absent values."""
     base = scratch_dir(spark, "landing")
     for name in publish.DIMENSION_TABLES:
-        _write_csv(st.dimension(spark, sf, name), landing_path(base, name, RUN_DATE))
+        _write_csv(st.awkward(st.dimension(spark, sf, name), name), landing_path(base, name, RUN_DATE))
     written = publish.publish_dimensions(
         spark, base, RUN_DATE, scratch_dir(spark, "archive"), scratch_dir(spark, "result")
     )
 
     def copy(name: str, kind: str, path: str) -> DataFrame:
-        rows = spark.read.option("header", True).csv(path)
-        text = F.concat_ws("|", *[F.col(c) for c in rows.columns])
-        return rows.select(
-            F.lit(name).alias("table_name"), F.lit(kind).alias("copy"), text.alias("row_text")
-        )
+        rows = read_copy(spark, path)
+        values = [F.col(c) for c in rows.columns] + [F.lit(None).cast("string")] * (3 - len(rows.columns))
+        named = [v.alias(f"value_{i}") for i, v in enumerate(values, 1)]
+        return rows.select(F.lit(name).alias("table_name"), F.lit(kind).alias("copy"), *named)
 
     parts = [
         copy(name, kind, path)
@@ -422,6 +481,7 @@ QUERIES: dict[str, Query] = {
     "dq_suite_summary": dq_suite_summary,
     "dq_suite_query": dq_suite_query,
     "dq_suite_sample": dq_suite_sample,
+    "dq_suite_table": dq_suite_table,
     "climate_attribute_names": climate_attribute_names,
     "climate_date_parse": climate_date_parse,
     "climate_sparse_attributes": climate_sparse_attributes,
@@ -436,6 +496,7 @@ QUERIES: dict[str, Query] = {
     "landing_completeness": landing_completeness,
     "landing_missing": landing_missing,
     "landing_file_sizes": landing_file_sizes,
+    "landing_gate": landing_gate,
     "publish_archive": publish_archive,
     "publish_current": publish_current,
     "catalog_registered_summary": catalog_registered_summary,

@@ -134,4 +134,20 @@ def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.select(*[F.col(c).cast("string") for c in rows.columns])
 
 
+def awkward(rows: DataFrame, name: str) -> DataFrame:
+    """Store names with what a CSV copy may lose; other tables as they are."""
+    if name != "store":
+        return rows
+    return rows.withColumn(
+        "r_name",
+        F.expr(
+            r"""CASE CAST(r_regionkey AS INT) % 5
+                  WHEN 0 THEN concat(r_name, ' "hi", ok')
+                  WHEN 1 THEN concat(r_name, chr(10), 'line')
+                  WHEN 2 THEN concat(' ', r_name, chr(92), ' ')
+                  WHEN 3 THEN '' END"""
+        ),
+    )
+
+
 assert set(DIMENSION_TABLES) < set(REQUIRED_TABLES) == set(LISTED_TABLES)

@@ -8,7 +8,14 @@ from stockglass.functions.weeks import DAY_OF_WEEK
 from stockglass.operators.retail import weekly_summary
 from stockglass.schemas import INVENTORY, SALES, as_text
 from stockglass.sinks.publish import publish_archive, publish_current, register_table
-from stockglass.sources.landing import read_landing
+from stockglass.sources.landing import landing_path, misfits, read_landing
+
+
+def _keep_misfits(spark: SparkSession, landing: str, date: str, result: str) -> None:
+    for name, schema in (("sales", SALES), ("inventory", INVENTORY)):
+        bad = misfits(read_landing(spark, landing, name, date), schema)
+        if not bad.isEmpty():
+            bad.write.mode("overwrite").parquet(landing_path(f"{result.rstrip('/')}/misfits", name, date))
 
 
 def run_weekly(
@@ -27,8 +34,10 @@ def run_weekly(
 
     The summary is computed once: the current snapshot is read back from the
     archive. ``compare_as_text`` reads the extracts as text, so that keys and
-    the low-stock flag compare character by character. Returns the path of the
-    current snapshot, registered as ``table`` if that is given.
+    the low-stock flag compare character by character. Else rows with a value
+    that its type can't hold, which becomes null, are written to
+    ``{result}/misfits/{table}_{date}.csv`` as Parquet; without any, none is. Returns
+    the path of the current snapshot, registered as ``table`` if that is given.
     """
     missing = [n for n, v in [("landing", landing), ("date", date), ("archive", archive), ("result", result)] if not v]
     if missing:
@@ -36,6 +45,8 @@ def run_weekly(
     inventory_schema, sales_schema = INVENTORY, SALES
     if compare_as_text:
         inventory_schema, sales_schema = as_text(INVENTORY), as_text(SALES)
+    else:
+        _keep_misfits(spark, landing, date, result)
     summary = weekly_summary(
         read_landing(spark, landing, "sales", date, sales_schema),
         read_landing(spark, landing, "inventory", date, inventory_schema),

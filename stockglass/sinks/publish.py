@@ -58,10 +58,14 @@ def publish_dimensions(
     tables: Sequence[str] = DIMENSION_TABLES,
 ) -> dict[str, tuple[str, str]]:
     """Copies the day's dimension extracts, all columns as text, to
-    ``{archive}/{table}_{date}.csv`` and ``{result}/{table}.csv``."""
+    ``{archive}/{table}_{date}.csv`` and ``{result}/{table}.csv``.
+
+    Quotes, line breaks and backslashes inside values survive. A file with line
+    breaks inside values can't be split, which suits dimensions.
+    """
     written = {}
     for table in tables:
-        rows = read_landing(spark, landing, table, date)
+        rows = read_landing(spark, landing, table, date, multi_line=True)
         targets = (
             landing_path(archive, table, date),
             f"{result.rstrip('/')}/{table}.csv",
@@ -70,6 +74,7 @@ def publish_dimensions(
             (
                 rows.write.mode("overwrite")
                 .option("header", True)
+                .option("escape", '"')
                 .option("ignoreLeadingWhiteSpace", False)
                 .option("ignoreTrailingWhiteSpace", False)
                 .csv(target)
@@ -79,15 +84,33 @@ def publish_dimensions(
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Registers Parquet files as a table, columns and partitions found in the files."""
+    """Registers Parquet files as a table, columns and partitions found in the files.
+
+    A table of that name over another path, or with other columns than the files
+    have now, is registered anew; its files stay where they are.
+    """
     if spark.catalog.tableExists(name):
         spark.catalog.refreshTable(name)
-    else:
+        if not _same_table(spark, name, path):
+            spark.sql(f"DROP TABLE {name}")
+    if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=path, source="parquet")
     if _is_partitioned(spark, name):
         spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 
+def _same_table(spark: SparkSession, name: str, path: str) -> bool:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    # Spark names both folders in full.
+    wanted = spark._jvm.org.apache.hadoop.fs.Path(path)
+    wanted = wanted.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(wanted)
+    if not details or details[0].data_type.rstrip("/") != wanted.toString().rstrip("/"):
+        return False
+    return {(f.name, f.dataType) for f in spark.read.parquet(path).schema} == {
+        (f.name, f.dataType) for f in spark.table(name).schema
+    }
+
+
 def _is_partitioned(spark: SparkSession, name: str) -> bool:
     return any(c.isPartition for c in spark.catalog.listColumns(name))
