@@ -127,3 +127,17 @@ def test_no_input(spark, tmp_path):
     assert not out.exists()
     with pytest.raises(FileNotFoundError):
         combine_stations(spark, f"{tmp_path}/*.csv", str(out), row_index=True)
+
+
+def test_any_file_name_and_line_breaks(spark, tmp_path):
+    for name, row in (("a b%20.csv", '1,"x\ny"'), ("c[1]{z}*.csv", '2,"p, q"')):
+        (tmp_path / name).write_text(f"k,v\n{row}\n")
+    rows = read_csv_set(spark, f"{tmp_path}/*.csv", multi_line=True)
+    assert sorted(tuple(r) for r in rows.collect()) == [("1", "x\ny"), ("2", "p, q")]
+
+
+def test_header_pass_leaves_the_session_alone(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k\n1\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")}
+    read_csv_set(spark, f"{tmp_path}/*.csv").collect()
+    assert before == {k: spark.conf.get(k) for k in before}

@@ -1,5 +1,6 @@
 """Landing gate, weekly job, publication, catalog."""
 
+import csv
 import datetime as dt
 from decimal import Decimal
 from pathlib import Path
@@ -12,7 +13,7 @@ from stockglass.plans.validation import validate_raw
 from stockglass.plans.weekly import run_weekly
 from stockglass.schemas import INVENTORY, REQUIRED_TABLES, SALES
 from stockglass.sinks.publish import archive_path, publish_archive, register_table
-from stockglass.sources.landing import list_landing, read_landing
+from stockglass.sources.landing import list_landing, misfits, read_landing
 
 DAY = "2023-05-05"
 FILES = {
@@ -132,3 +133,62 @@ def test_validation_job(spark, tmp_path):
     results, stats = validate_raw(spark, "landed_inventory", "landed_sales")
     assert results.count() == 7 and results.where("not success").count() == 0
     assert stats.count() == 2
+
+
+def test_values_no_type_holds_are_found(spark, tmp_path):
+    text = "trans_id,trans_dt,store_key,prod_key,sales_qty,sales_amt,sales_cost,discount\n"
+    text += "1,2023-05-05,S1,7,2,9.99,5,0\n2,2023-05-05,200.0,7,12345678901.5,1,1,0\n"
+    text += "3,2023-05-05,200,7,0.125,1,1,0\n4,2023-05-05,200,,2.50,1,1,0\n"
+    (tmp_path / f"sales_{DAY}.csv").write_text(text)
+    bad = {r.trans_id: r.misfits for r in misfits(read_landing(spark, str(tmp_path), "sales", DAY), SALES).collect()}
+    assert bad == {"1": ["store_key"], "2": ["sales_qty"], "3": ["sales_qty"]}
+    typed = {r.trans_id: r.store_key for r in read_landing(spark, str(tmp_path), "sales", DAY, SALES).collect()}
+    assert typed == {1: None, 2: 200, 3: 200, 4: 200}
+
+
+def test_weekly_job_keeps_misfits(spark, tmp_path):
+    base, result = str(tmp_path / "in"), str(tmp_path / "result")
+    land(base)
+    run_weekly(spark, base, DAY, str(tmp_path / "out"), result)
+    assert not (tmp_path / "result/misfits").exists()
+    with open(f"{base}/sales_{DAY}.csv", "a") as f:
+        f.write("3,2023-05-05,S1,7,2,1,1,0\n")
+    run_weekly(spark, base, DAY, str(tmp_path / "out"), result)
+    (row,) = spark.read.parquet(f"{result}/misfits/sales_{DAY}.csv").collect()
+    assert row.store_key == "S1" and row.misfits == ["store_key"]
+
+
+def test_copies_keep_every_character(spark, tmp_path):
+    base = tmp_path / "in"
+    land(base)
+    rows = [["k", "v"], ["1", 'say "hi", ok'], ["2", "two\nlines"], ["3", "back\\slash\\"], ["4", " a "], ["5", ""]]
+    with open(base / f"store_{DAY}.csv", "w", newline="") as f:
+        csv.writer(f).writerows(rows)
+    assert run_gate(spark, str(base), str(tmp_path / "archive"), str(tmp_path / "result"), DAY) == []
+    for copy in (tmp_path / f"archive/store_{DAY}.csv", tmp_path / "result/store.csv"):
+        (part,) = copy.glob("part-*")
+        with open(part, newline="") as f:
+            assert list(csv.reader(f)) == rows
+
+
+def test_gate_sees_extracts_in_folders(spark, tmp_path):
+    base = str(tmp_path / "in")
+    for name in REQUIRED_TABLES:
+        spark.range(3).selectExpr("id AS k", "'v' AS v").write.option("header", True).csv(f"{base}/{name}_{DAY}.csv")
+    assert run_gate(spark, base, str(tmp_path / "a"), str(tmp_path / "r"), DAY) == []
+    assert read_landing(spark, str(tmp_path / "a"), "product", DAY).count() == 3
+    odd = listing(spark, f"in/sales_{DAY}.csv/_SUCCESS", f"in/store_{DAY}.csv/.part.crc", f"in/store_{DAY}.csv/x/part-0")
+    assert landed_files(odd).count() == 0
+
+
+def test_register_follows_path_and_columns(spark, tmp_path):
+    first, second = str(tmp_path / "one"), str(tmp_path / "two")
+    spark.range(2).write.parquet(first)
+    spark.range(5).selectExpr("id", "'x' AS more").write.parquet(second)
+    assert register_table(spark, "moving", first).count() == 2
+    assert register_table(spark, "moving", second).columns == ["id", "more"]
+    spark.range(7).selectExpr("'x' AS other").write.mode("overwrite").parquet(second)
+    table = register_table(spark, "moving", second)
+    assert table.columns == ["other"] and table.count() == 7
+    assert spark.read.parquet(first).count() == 2
+    spark.sql("DROP TABLE moving")

@@ -274,6 +274,25 @@ def test_hot_fact_key_is_split(spark, tables):
         # Also when the readings come from an aggregation by the join keys.
         derived = inventory.dropDuplicates(["prod_key", "store_key", "cal_dt"])
         assert "skew=true" in final_plan(retail.daily_fact(sales.repartition(8), derived))
+        # The summary too, though every sale of the hot key has a quantity of its own.
+        weighed = sales.withColumn("sales_qty", (F.monotonically_increasing_id() % 9_999_999 / 100).cast("decimal(12,2)"))
+        weighed = weighed.withColumns({"sales_amt": F.col("sales_qty"), "sales_cost": F.col("sales_qty")})
+        readings = inventory.withColumns({"inventory_on_order_qty": F.lit(1), "out_of_stock_flg": F.lit(0)})
+        assert "skew=true" in final_plan(retail.weekly_summary(weighed.repartition(8), readings))
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_text_numbers_of_any_size_and_scale(spark):
+    sales = spark.createDataFrame(
+        [("7", "200", dt.date(2023, 5, 5), "2", "123456789012345.5", "0.00004")],
+        "prod_key string, store_key string, trans_dt date, sales_qty string, sales_amt string, sales_cost string",
+    )
+    inventory = spark.createDataFrame(
+        [("7", "200", dt.date(2023, 5, 5), "3", "4", "1.0")],
+        "prod_key string, store_key string, cal_dt date, inventory_on_hand_qty string, inventory_on_order_qty string, out_of_stock_flg string",
+    )
+    (row,) = retail.weekly_summary(sales, inventory, compare_as_text=True).collect()
+    assert row.total_sales_amount == 123456789012345.5 and row.total_sales_cost == 0.00004
+    assert row.no_stock_instances == 1

@@ -251,3 +251,48 @@ def test_stream_stops_at_another_header(spark, tmp_path):
     )
     with pytest.raises(PySparkException):
         query.awaitTermination()
+
+
+def test_a_file_without_a_wanted_row_is_an_empty_batch(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", ["2019", "1/1/19", "1", ""])
+    put(tmp_path / "in", "b.csv", ["2020", "x", "1", ""], ["2020", "31/31/20", "2", ""])
+    path, rejects = str(tmp_path / "items"), str(tmp_path / "rejects")
+    report = load_station_file(spark, str(tmp_path / "in/a.csv"), 2020, path, 0, rejects_path=rejects)
+    assert (report.rows, report.rejected, report.duplicates) == (0, 0, 0)
+    assert log.read_items(spark, path).count() == 0 and not (tmp_path / "rejects").exists()
+    report = load_station_file(spark, str(tmp_path / "in/b.csv"), 2020, path, 1, rejects_path=rejects)
+    assert (report.rows, report.rejected, report.duplicates) == (2, 2, 0)
+    assert {r["Date/Time"] for r in spark.read.parquet(rejects).collect()} == {"x", "31/31/20"}
+
+
+def test_duplicates_are_counted_and_years_may_be_left_out(spark, tmp_path):
+    rows = rows_of(spark, [("2020", "1/1/20", "1", ""), ("2020", "1/1/20", "2", ""), ("2019", "1/1/19", "3", "")])
+    report = load_stations(rows, None, str(tmp_path / "items"), 0)
+    assert (report.rows, report.rejected, report.duplicates) == (3, 0, 1)
+
+
+def test_a_batch_written_again_loses_its_old_years(spark, tmp_path):
+    path = str(tmp_path / "items")
+    load_stations(rows_of(spark, [("2019", "1/1/19", "1", ""), ("2020", "1/1/20", "1", "")]), None, path, 0)
+    log.ensure_items_table(spark, "batches", path)
+    log.sync_items_table(spark, "batches")
+    assert spark.table("batches").count() == 2
+    load_stations(rows_of(spark, [("2020", "1/1/20", "2", "")]), None, path, 0)
+    wanted = {("2020", "2020-01-01"): {"max-temp-c": "2"}}
+    assert items_of(log.read_items(spark, path)) == wanted
+    log.sync_items_table(spark, "batches")
+    assert items_of(log.latest_items(spark.table("batches"))) == wanted
+    spark.sql("DROP TABLE batches")
+
+
+def test_stream_goes_on_after_a_batch_without_a_wanted_row(spark, tmp_path):
+    source, path = tmp_path / "in", str(tmp_path / "items")
+    files = (["2018", "1/1/18", "1", ""], ["2020", "bad", "2", ""], ["2020", "1/1/20", "3", ""])
+    for i, row in enumerate(files):
+        put(source, f"{i}.csv", row)
+        os.utime(source / f"{i}.csv", (1_600_000_000 + i, 1_600_000_000 + i))
+    start_station_load(spark, str(source), HEADER, 2020, path, str(tmp_path / "state"), files_per_batch=1).awaitTermination()
+    assert items_of(log.read_items(spark, path)) == {("2020", "2020-01-01"): {"max-temp-c": "3"}}
+    reports = spark.read.parquet(f"{path}-reports").orderBy("batch_id").collect()
+    assert [(r.rows, r.rejected) for r in reports] == [(0, 0), (1, 1), (1, 0)]
+    assert spark.read.parquet(f"{path}-rejects").first()["Date/Time"] == "bad"
