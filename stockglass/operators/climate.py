@@ -106,10 +106,15 @@ def range_query(items: DataFrame, year: int | str, start: str, end: str) -> Data
     ).orderBy("date")
 
 
-def attribute_names(items: DataFrame) -> list[str]:
-    """All attribute names that occur, sorted. One row per name reaches the driver."""
-    names = items.select(F.explode(F.map_keys("attributes")).alias("name")).distinct()
-    return sorted(row.name for row in names.collect())
+def attribute_names(items: DataFrame, *, empty_items: bool = False) -> list[str | None]:
+    """All attribute names that occur, sorted. One row per name reaches the driver.
+
+    With ``empty_items`` the last is ``None`` if an item has no attribute, so that
+    an empty list means no items.
+    """
+    explode = F.explode_outer if empty_items else F.explode
+    names = items.select(explode(F.map_keys("attributes")).alias("name")).distinct()
+    return sorted((row.name for row in names.collect()), key=lambda n: (n is None, n))
 
 
 def explode_items(items: DataFrame) -> DataFrame:

@@ -112,9 +112,15 @@ def extract_range(
 ) -> int:
     """Writes the items of a date range as CSV, every attribute that occurs a column.
 
-    One year has at most 366 keys, so a single sorted file is safe. Returns the
-    number of rows; for 0 no file is written.
+    One year has at most 366 days, so a single sorted file is safe unless an
+    attribute named ``date`` takes the place of the key; then say
+    ``single_file=False``. Returns the number of rows; for 0 no file is written.
     """
     found = range_query(read_items(spark, items_path), year, start, end)
-    wide = to_wide(found, attribute_names(found))
-    return export_csv(wide, target, single_file=single_file, order_by=["date"])
+    names = attribute_names(found, empty_items=True)
+    if not names:
+        return 0
+    wide = to_wide(found, [n for n in names if n is not None])
+    return export_csv(
+        wide, target, single_file=single_file, order_by=["date"], known_rows=True
+    )

@@ -14,15 +14,17 @@ def export_csv(
     single_file: bool = False,
     order_by: Sequence[str] = (),
     unnamed: str | None = None,
+    known_rows: bool = False,
 ) -> int:
     """Writes rows under a header line and returns their number.
 
     Nothing is written for an empty result. Blanks around values survive and
     quotes are doubled. ``single_file`` puts everything into one task, so it is
     only for results known to be small; ``order_by`` sorts that file. The
-    header of column ``unnamed`` is left empty.
+    header of column ``unnamed`` is left empty. ``known_rows`` says that there are
+    rows, which saves looking for one first.
     """
-    if df.isEmpty():
+    if not known_rows and df.isEmpty():
         return 0
     written = Observation()
     out = df
