@@ -22,12 +22,11 @@ MISSING_TEXTS = (
 )
 
 
-def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
-    """Header line -> the files that begin with it, both sorted by path.
+def header_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``file_path``, as the metadata has it, and ``value``, the first line of each file.
 
     Spark reads the files as text, one per task, and each task stops after its
-    first row. One row per file reaches the driver, which lists the
-    files for the scan anyway.
+    first row.
     """
 
     # Defined here so that it travels with the task: workers need not have this package.
@@ -42,16 +41,33 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, l
     apart = spark.newSession()
     apart.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
     apart.conf.set("spark.sql.files.openCostInBytes", str(1 << 50))
-    lines = (
+    return (
         apart.read.text(paths)
         .select("_metadata.file_path", "value")
         .mapInArrow(first_row, "file_path string, value string")
-        .collect()
+        .withColumn("value", F.regexp_replace("value", "\r+$", ""))
     )
-    groups: dict[str, list[str]] = {}
-    for row in sorted(lines, key=lambda r: r.file_path):
-        groups.setdefault(row.value.rstrip("\r"), []).append(plain_path(row.file_path))
-    return groups
+
+
+def file_headers(
+    spark: SparkSession, paths: str | Sequence[str]
+) -> dict[str, str | Sequence[str]]:
+    """Header line -> the files that begin with it, both sorted by path.
+
+    If one header covers all files, they are ``paths`` as given, and only that line
+    reaches the driver. Else one row per file does.
+    """
+    lines = header_lines(spark, paths).persist()
+    try:
+        headers = lines.groupBy("value").count().collect()
+        if len(headers) == 1:
+            return {headers[0].value: paths}
+        groups: dict[str, list[str]] = {}
+        for row in sorted(lines.collect(), key=lambda r: r.file_path):
+            groups.setdefault(row.value, []).append(plain_path(row.file_path))
+        return groups
+    finally:
+        lines.unpersist()
 
 
 def plain_path(uri: str) -> str:
@@ -122,6 +138,7 @@ def read_csv_set(
         ]
     by_names: dict[tuple[str, ...], list[str]] = {}
     for line, files in file_headers(spark, paths).items():
+        files = [files] if isinstance(files, str) else files
         by_names.setdefault(tuple(header_names(line)), []).extend(files)
     parts = [_read_group(spark, n, files, missing, extra, multi_line) for n, files in by_names.items()]
     combined = union_by_name(parts)
