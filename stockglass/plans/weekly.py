@@ -39,7 +39,8 @@ def run_weekly(
     ``{result}/misfits/{table}_{date}.csv`` as Parquet; without any, none is. Returns
     the path of the current snapshot, registered as ``table`` if that is given.
     """
-    missing = [n for n, v in [("landing", landing), ("date", date), ("archive", archive), ("result", result)] if not v]
+    given = {"landing": landing, "date": date, "archive": archive, "result": result}
+    missing = [name for name, value in given.items() if not value]
     if missing:
         raise ValueError(f"missing: {', '.join(missing)}")
     inventory_schema, sales_schema = INVENTORY, SALES
