@@ -184,7 +184,9 @@ def fit(rows: np.ndarray, langs: np.ndarray) -> LanguageModel:
     return model
 
 
-def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, rows: int = TRAIN_ROWS) -> LanguageModel:
+def train(
+    docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, rows: int = TRAIN_ROWS
+) -> LanguageModel:
     """docs: doc_id, text, lang. Learns from rows outside the held-out fold."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     usable = usable.filter(~held_out(F.col("doc_id"), FOLDS, FOLD)).select("doc_id", "text", "lang")
@@ -192,7 +194,8 @@ def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, rows: int
     wanted = F.lit(min(rows_per_language, max(1, rows // max(1, sizes.count()))))
     # Each language draws about as many ids, by a hash that depends on nothing else.
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30) * F.col("n")
-    drawn = usable.select("doc_id", "lang").join(sizes.withColumnRenamed("lang", "l"), F.col("lang") == F.col("l"))
+    sizes = sizes.withColumnRenamed("lang", "size_lang")
+    drawn = usable.select("doc_id", "lang").join(sizes, F.col("lang") == F.col("size_lang"))
     drawn = drawn.filter(place < 1.2 * wanted).groupBy("doc_id").agg(F.min(place).alias("place"))
     chosen = drawn.orderBy("place", "doc_id").limit(rows).select("doc_id")
     texts = training_documents(usable, chosen, "lang")

@@ -167,7 +167,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     document of the range after it, so that each range is sorted alone and no
     text moves more than once.
     """
-    ranged = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _id_ranges(docs).alias("range"))
+    text = F.coalesce("text", F.lit("")).alias("text")
+    ranged = docs.select("doc_id", text, _id_ranges(docs).alias("range"))
     heads = ranged.groupBy("range").agg(F.max("doc_id").alias("head_id"))
     order = W.orderBy("range")  # as many rows as ranges
     last = F.max("range").over(W.partitionBy())
@@ -178,17 +179,16 @@ def with_next(docs: DataFrame) -> DataFrame:
     first = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
     guests = ranged.join(heads, at_head).groupBy(F.col("before").alias("range")).agg(first)
     own = ranged.withColumn("guest", F.lit(False))
-    guests = guests.select(F.lit(None).cast("long").alias("doc_id"), "text", "range", F.lit(True).alias("guest"))
+    no_id, guest = F.lit(None).cast("long").alias("doc_id"), F.lit(True).alias("guest")
+    guests = guests.select(no_id, "text", "range", guest)
     rows = own.unionAll(guests).withColumn("low", low_bits(F.col("text")))
     inside = W.partitionBy("range").orderBy(
         "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text"
     )
     following = F.lead(F.struct("text", "low")).over(inside).alias("following")
-    return (
-        rows.select("*", following)
-        .filter(~F.col("guest"))
-        .select("doc_id", "text", "low", F.col("following.text").alias("next_text"), F.col("following.low").alias("next_low"))
-    )
+    next_text, next_low = (F.col(f"following.{c}").alias(f"next_{c}") for c in ("text", "low"))
+    own = rows.select("*", following).filter(~F.col("guest"))
+    return own.select("doc_id", "text", "low", next_text, next_low)
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:

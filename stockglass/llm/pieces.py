@@ -336,7 +336,8 @@ def encoded(docs: DataFrame, path: str = MODEL) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for doc_ids, texts in _in_parts(batches):
-            yield pa.RecordBatch.from_arrays([doc_ids, _lists([encoder(t) for t in texts])], ["doc_id", "ids"])
+            ids = _lists([encoder(t) for t in texts])
+            yield pa.RecordBatch.from_arrays([doc_ids, ids], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(encode, _with_id(docs, IDS))
 
@@ -351,7 +352,8 @@ def decoded(rows: DataFrame, path: str = MODEL) -> DataFrame:
             found = [None if ids is None else decode(np.array(ids, np.int32), texts) for ids in lists]
             yield pa.RecordBatch.from_arrays([doc_ids, pa.array(found, pa.string())], ["doc_id", "text"])
 
-    return rows.select("doc_id", "ids").mapInArrow(back, _with_id(rows, T.StructField("text", T.StringType())))
+    schema = _with_id(rows, T.StructField("text", T.StringType()))
+    return rows.select("doc_id", "ids").mapInArrow(back, schema)
 
 
 def round_trips(docs: DataFrame, path: str = MODEL) -> DataFrame:

@@ -50,7 +50,8 @@ _CLASSES = {
     "line": b"\n",
 }
 STATISTICS = (
-    "words", "word_length", *_CLASSES, "distinct", "repeats", "commonest", "short", "same_lines", "longest_line"
+    "words", "word_length", *_CLASSES,
+    "distinct", "repeats", "commonest", "short", "same_lines", "longest_line",
 )
 
 
@@ -72,15 +73,12 @@ def statistics(text: str | None) -> np.ndarray:
         sum(k for w, k in seen.items() if len(w) <= 3),
         len(lines) - len(set(lines)),
     ]
-    upper, digit, shout, bar, symbol, stop, comma, line, repeats, commonest, short, same = (
-        np.log1p(100 * np.array(per_word) / (n + STEADY)).tolist()
-    )
-    return np.array(
-        [
-            np.log1p(n), np.log((length + 5 * STEADY) / (n + STEADY)), upper, digit, shout, bar, symbol, stop, comma, line,
-            np.log((len(seen) + STEADY) / (n + STEADY)), repeats, commonest, short, same, np.log1p(max(map(len, lines))),
-        ]
-    )
+    rates = np.log1p(100 * np.array(per_word) / (n + STEADY)).tolist()
+    of_classes, of_words = rates[: len(counts)], rates[len(counts) :]
+    word_length = np.log((length + 5 * STEADY) / (n + STEADY))
+    distinct = np.log((len(seen) + STEADY) / (n + STEADY))
+    longest = np.log1p(max(map(len, lines)))
+    return np.array([np.log1p(n), word_length, *of_classes, distinct, *of_words, longest])
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockglass.llm import language, minhash, mixing, personal, pieces, quality, secrets, simhash, topk, toxicity
+from stockglass.llm import (
+    language,
+    minhash,
+    mixing,
+    personal,
+    pieces,
+    quality,
+    secrets,
+    simhash,
+    topk,
+    toxicity,
+)
 from stockglass.llm.common import table
 
 
@@ -30,8 +41,9 @@ scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 ranked AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
-         vec_id, score FROM scored)
+  SELECT query_id, vec_id, score,
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM scored)
 SELECT * FROM ranked WHERE rank <= 5
 """
 

@@ -82,7 +82,9 @@ class BallTree:
         reach = size * (self.radii + np.sqrt((self.centres**2).sum(axis=1)))
         return queries @ self.centres.T + size * self.radii + 1e-9 * reach + 1e-6
 
-    def search(self, query: np.ndarray, own: int, bounds: np.ndarray, k: int, kth: float) -> list[tuple[float, int]]:
+    def search(
+        self, query: np.ndarray, own: int, bounds: np.ndarray, k: int, kth: float
+    ) -> list[tuple[float, int]]:
         """The best scores of at least ``kth`` as (score, id), best first."""
         best: list[tuple[float, int]] = []  # a heap; its first is the worst: (score, -id)
         nodes = [(-bounds[0], 0)]
@@ -196,6 +198,7 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         first = materialize(first, "topk-first")
         enough = F.when(F.count("*") == k, F.min("score").cast("double")).alias("kth")
         known = asked.join(first.groupBy("query_id").agg(enough), "query_id", "left")
-        rest = known.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>")))
+        every = F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>")
+        rest = known.withColumn("shard", F.explode(every))
         first = first.unionAll(meet(rest.filter("shard <> home")))
     return _best(first, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
