@@ -17,6 +17,8 @@ each row of its own. An empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -140,8 +142,11 @@ def found_spans(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
     rows = rows.select("doc_id", "text_hash", "text", *[_spans(F.col("text"), k).alias(k) for k in KINDS])
     tokens = F.transform(located(F.col("text"), _TOKEN), _with_words)
-    free = F.filter(tokens, lambda t: ~(_covered(t, F.col("email")) | _covered(t, F.col("ip")) | _covered(t, F.col("card")) | _covered(t, F.col("phone"))))
-    other = F.when(F.col("text").rlike("[0-9@]"), free).otherwise(F.array().cast(_SPAN))
+
+    def free(token: Column) -> Column:
+        return ~reduce(Column.__or__, [_covered(token, F.col(k)) for k in KINDS])
+
+    other = F.when(F.col("text").rlike("[0-9@]"), F.filter(tokens, free)).otherwise(F.array().cast(_SPAN))
     return rows.select("doc_id", "text_hash", *KINDS, other.alias("other"))
 
 
@@ -152,10 +157,11 @@ def _edges(rows: DataFrame, spans: Column, known: bool) -> DataFrame:
         F.struct(F.lit("before").alias("side"), F.col("s.left").alias("word")),
         F.struct(F.lit("after").alias("side"), F.col("s.right").alias("word")),
     )
-    edges = one.select(F.col("s.hit").alias("instance"), F.explode(sides).alias("p"), F.lit(known).alias("known"))
-    return edges.filter((F.col("p.word") != "") & ~F.col("p.word").rlike("[0-9@]")).select(
-        "p.side", "p.word", "instance", "known"
+    edges = one.select(
+        F.col("s.hit").alias("instance"), F.explode(sides).alias("p"), F.lit(known).alias("known")
     )
+    words = edges.filter((F.col("p.word") != "") & ~F.col("p.word").rlike("[0-9@]"))
+    return words.select("p.side", "p.word", "instance", "known")
 
 
 def context_patterns(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -180,9 +186,8 @@ def context_patterns(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) ->
         beside = beside.agg(F.sum(F.col("n") * F.col("belief")).alias("found"), F.sum("n").alias("n"))
         # A word at the edge of a token, as in "(tel:", may count fewer times than it is seen.
         share = F.col("found") / (F.greatest("total", "n") + 1)
-        scored = materialize(
-            beside.join(patterns, ["side", "word"]).select("side", "word", share.alias("score")), "personal-scores"
-        )
+        scored = beside.join(patterns, ["side", "word"]).select("side", "word", share.alias("score"))
+        scored = materialize(scored, "personal-scores")
         if k + 1 < rounds:
             doubt = F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.99)))))
             belief = F.when(F.max("known"), 1.0).otherwise(1 - doubt)
@@ -193,21 +198,36 @@ def context_patterns(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) ->
 def _discovered(found: DataFrame, patterns: DataFrame) -> DataFrame:
     """doc_id, text_hash, context: the spans beside a pattern, an array for each text."""
     spans = found.filter(F.size("other") > 0).select("doc_id", "text_hash", F.explode("other").alias("s"))
-    sides = [spans.join(patterns.filter(F.col("side") == side).select("word"), F.col(f"s.{column}") == F.col("word"), "left_semi") for side, column in (("before", "left"), ("after", "right"))]
+
+    def beside(side: str, word: str) -> DataFrame:
+        used = patterns.filter(F.col("side") == side).select("word")
+        return spans.join(used, F.col(word) == F.col("word"), "left_semi")
+
+    hits = beside("before", "s.left").unionAll(beside("after", "s.right"))
     one = F.struct(F.col("s.start").alias("start"), F.col("s.end").alias("end"))
-    return sides[0].unionAll(sides[1]).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(one)).alias("context"))
+    return hits.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(one)).alias("context"))
 
 
-def all_spans(docs: DataFrame) -> DataFrame:
-    """``found_spans`` and ``context``, the identifiers found by their context."""
+_CONTEXT = "array<struct<start:int,end:int>>"
+
+
+def _found_and_context(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``found_spans``, and the identifiers found by their context: c_id, c_hash, context,
+    a row for each text that has any."""
     found = materialize(found_spans(docs), "personal-found")
     context = materialize(_discovered(found, context_patterns(docs, found)), "personal-context")
-    c = context.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash"), "context")
+    c_id, c_hash = F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash")
+    return found, context.select(c_id, c_hash, "context")
+
+
+def _with_context(rows: DataFrame, context: DataFrame) -> DataFrame:
+    """rows, which have doc_id and text_hash, and ``context``. Few texts have any; without
+    one there is nothing to join."""
+    if context.isEmpty():
+        return rows.withColumn("context", F.array().cast(_CONTEXT))
     same = F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_hash") == F.col("c_hash"))
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    return found.drop("other").join(c, same, "left").drop("c_id", "c_hash").withColumn(
-        "context", F.coalesce("context", none)
-    )
+    joined = rows.join(context, same, "left").drop("c_id", "c_hash")
+    return joined.withColumn("context", F.coalesce("context", F.array().cast(_CONTEXT)))
 
 
 def _joined(kinds: tuple[str, ...]) -> Column:
@@ -219,7 +239,8 @@ def _joined(kinds: tuple[str, ...]) -> Column:
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, the number of spans of each kind, base_sha256, spans."""
-    rows = all_spans(docs)
+    found, context = _found_and_context(docs)
+    rows = _with_context(found.drop("other"), context)
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in (*KINDS, "context")]
     digest = F.sha2(_joined(KINDS).cast("binary"), 256).alias("base_sha256")
     return rows.select("doc_id", *counts, digest, _joined((*KINDS, "context")).alias("spans"))
@@ -229,15 +250,20 @@ def redacted(docs: DataFrame) -> DataFrame:
     """docs with each span in ``text`` replaced by its kind in brackets; overlapping
     spans become one. Other columns are unchanged; so are texts without spans."""
 
-    def tagged(kind: str) -> Column:
-        return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind")))
+    def tagged(kind: str, spans: Column) -> Column:
+        def one(s: Column) -> Column:
+            return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"))
+
+        return F.transform(spans, one)
 
-    spans = all_spans(docs).withColumn("spans", F.array_sort(F.concat(*map(tagged, (*KINDS, "context")))))
-    spans = spans.filter(F.size("spans") > 0).groupBy("doc_id", "text_hash").agg(F.first("spans").alias("spans"))
-    spans = materialize(spans, "personal-spans").select(F.col("doc_id").alias("s_id"), "text_hash", "spans")
+    # Fixed forms are found once more where the text is, so that no text has to move.
+    _, context = _found_and_context(docs)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(whole, F.col("doc_id").alias("id"), F.col("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
-    rows = rows.join(spans, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("h") == F.col("text_hash")), "left")
+    text_hash = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+    rows = _with_context(docs.select(whole, "doc_id", "text", text_hash), context)
+    kinds = [tagged(k, _spans(F.coalesce("text", F.lit("")), k)) for k in KINDS]
+    spans = F.array_sort(F.concat(*kinds, tagged("context", F.col("context"))))
+    rows = rows.select("row", "text", spans.alias("spans"))
 
     def cut(state: Column, span: Column) -> Column:
         begins = span["start"] >= state["at"]
@@ -250,6 +276,6 @@ def redacted(docs: DataFrame) -> DataFrame:
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     rest = F.array(F.substring("text", F.col("cut.at") + 1, F.length("text")))
-    rows = rows.withColumn("cut", F.when(F.col("spans").isNotNull(), F.aggregate("spans", start, cut)))
+    rows = rows.withColumn("cut", F.when(F.size("spans") > 0, F.aggregate("spans", start, cut)))
     text = F.coalesce(F.array_join(F.concat("cut.out", rest), ""), F.col("text"))
     return rows.select(F.col("row").withField("text", text).alias("row")).select("row.*")
