@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-REMEMBERED = 300_000  # stretches, and pairs of pieces, a task remembers at a time
+REMEMBERED = 200_000  # stretches, and pairs of pieces, a task remembers at a time
 BEGINNINGS = 100_000  # beginnings of stretches whose path it remembers
 YIELDED = 200  # texts whose ids a task hands on at a time
 STRETCH = 48  # characters of a stretch that is remembered, at most
