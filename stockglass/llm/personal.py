@@ -41,7 +41,7 @@ PATTERNS = {
 }
 _SIGNS = {"email": "@", "ip": "[0-9]", "card": "[0-9]", "phone": r"\+"}  # without one no match
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-_TOKEN = r"[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+_TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 
 
 def _running(lengths: Column) -> Column:

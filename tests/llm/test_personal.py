@@ -29,6 +29,7 @@ def plain(text):
     return [
         f"{kind}:{m.start()}:{m.end()}"
         for kind, pattern, good in FORMS
+        if kind != "email" or "@" in (text or "")
         for m in re.finditer(pattern, text or "")
         if good(m[0])
     ]
@@ -88,9 +89,10 @@ def test_redaction(documents):
 
 
 def test_cases(documents):
-    digits, numbers = "1" * 60_000, "10.0.0.1 " * 5000
-    local = "a" * 60_000
-    texts = {1: None, 2: "", 3: digits, 4: numbers, 5: local, None: "q@w.er", 6: "+" * 9 + "1" * 40_000, 7: "1 " * 20_000}
+    # The plain search reads such runs again and again, so they are not as long as they could be.
+    digits, numbers = "1" * 9000, "10.0.0.1 " * 5000
+    local = "a" * 200_000 + " 1"
+    texts = {1: None, 2: "", 3: digits, 4: numbers, 5: local, None: "q@w.er", 6: "+" * 9 + "1" * 9000, 7: "1 " * 20_000}
     docs = documents(list(texts.items()) * 2).withColumn("email", F.lit("x")).withColumn("text_hash", F.lit(1))
     got = personal.personal_data(docs).collect()
     assert len(got) == 2 * len(texts)
