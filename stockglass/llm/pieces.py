@@ -202,6 +202,7 @@ class Encoder:
         out = array("i")
         # The piece that ends at each position from ``base`` on, and where it starts.
         base, pieces, starts = 0, [""] + [None] * min(n, 3 * window), [0] * (1 + min(n, 3 * window))
+        check = 2 * window  # where convergence is tested next
         for start in range(n):
             before = pieces[start - base]
             if before is None:  # no piece ends here: a character outside the vocabulary
@@ -222,12 +223,14 @@ class Encoder:
                         self.pairs += 1
                     if apart:
                         pieces[end - base], starts[end - base] = piece, start
-            if start - base == 2 * window:
+            if start == check:
                 boundary = self._converged(starts, base, start)
+                check = start + window
                 if boundary > base:
                     self._commit(pieces, starts, base, boundary, out)
                     del pieces[: boundary - base], starts[: boundary - base]
                     base = boundary
+                    check = base + 2 * window
                 room = min(n, start + 3 * window) - base + 1 - len(pieces)
                 pieces.extend([None] * room)
                 starts.extend([0] * room)

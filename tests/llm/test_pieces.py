@@ -81,3 +81,10 @@ def test_cases(spark, documents):
     assert sorted((str(r.doc_id), r.text) for r in back) == sorted((str(i), t or "") for i, t in rows)
     assert pieces.round_trips(documents([])).collect() == []
     assert pieces.decoded(pieces.encoded(documents([]))).collect() == []
+
+
+def test_paths_that_meet_late(encoder):
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    for tail in ("a" * 40, "qwertzuiop" * 50, "er" * 40):
+        text = "(LMGUCVRGMRDTFDPPDDFEQLLIOMOSPOPlafebewepptrirorer" + tail
+        assert list(encoder(text)) == model.encode(text)
