@@ -6,9 +6,11 @@ They are the seeds. The word before a seed and the word after it are lexical
 patterns. Spark scores them against all documents: the share of a word's
 occurrences that stand beside an identifier. Tokens with a digit or an @ beside
 such a word are instances, and score by their patterns; patterns score again by
-their instances, for a few rounds over the graph of the two. Patterns that end with
-high scores and were seen beside several seeds find the identifiers that no fixed
-form covers, as ``context``.
+their instances. A word takes part once it was seen beside several seeds, or beside
+instances that a word with a high score found, each as far as it is believed. So
+labels that never stand beside a seed are reached, too. Rounds go on as long as they
+bring further words. Patterns that end with high scores find the identifiers that no
+fixed form covers, as ``context``.
 
 Positions are code points, ends exclusive. Cases: a null text is empty and has no
 spans; texts are read whole, of any length; rows with one text share its spans,
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 from stockglass.llm.common import GAP, let, materialize
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
-LEAST_SEEDS = 3  # different seeds beside a pattern that is used
+ROUNDS = 3  # at least
+LEAST_SEEDS = 3  # seeds beside a pattern that takes part, different ones; found instances count their belief
 LEAST_SCORE = 0.7  # of a pattern that is used
 _BLANKS = "\t\n\x0b\x0c\r"
 
@@ -164,35 +166,52 @@ def _edges(rows: DataFrame, spans: Column, known: bool) -> DataFrame:
     return words.select("p.side", "p.word", "instance", "known")
 
 
-def context_patterns(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """side, word, score of the patterns that are used."""
+def _candidate_edges(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """side, word, instance, n, known, where known holds for the instance wherever it
+    stands; and side, word, total, the number of times each of the patterns is seen."""
     seeds = _edges(found, F.concat(*KINDS), True)
     edges = seeds.unionAll(_edges(found, F.col("other"), False)).groupBy("side", "word", "instance")
     edges = edges.agg(F.count("*").alias("n"), F.max("known").alias("known"))
-    # Patterns without a seed can't be used, and score nothing in the first round.
-    seeded = F.count_if("known")
-    patterns = edges.groupBy("side", "word").agg(seeded.alias("seeds"))
-    patterns = materialize(patterns.filter(F.col("seeds") >= LEAST_SEEDS), "personal-patterns")
-    edges = materialize(edges.join(patterns.drop("seeds"), ["side", "word"]), "personal-edges")
+    edges = materialize(edges, "personal-all-edges")
+    # Support is at most the number of instances, so fewer can never be enough.
+    patterns = edges.groupBy("side", "word").agg(F.count("*").alias("instances"), F.sum("n").alias("n"))
+    patterns = materialize(patterns.filter(F.col("instances") >= LEAST_SEEDS), "personal-patterns")
+    seeds = edges.filter("known").select("instance").distinct().withColumn("seed", F.lit(True))
+    edges = edges.join(patterns.select("side", "word"), ["side", "word"], "left_semi").drop("known")
+    edges = edges.join(seeds, "instance", "left").withColumn("known", F.coalesce("seed", F.lit(False)))
+    edges = materialize(edges.drop("seed"), "personal-edges")
     words = docs.select(F.explode(F.split(F.lower("text"), GAP)).alias("word")).filter("word <> ''")
     totals = words.groupBy("word").agg(F.count("*").alias("total"))
-    patterns = materialize(patterns.join(totals, "word", "left"), "personal-totals")
-    patterns = patterns.withColumn("total", F.coalesce("total", F.lit(0)))
-
-    known = edges.select("instance", "known").groupBy("instance").agg(F.max("known").alias("known"))
-    scores = known.select("instance", F.col("known").cast("double").alias("belief"))
-    for k in range(rounds):
-        beside = edges.join(scores, "instance").groupBy("side", "word")
-        beside = beside.agg(F.sum(F.col("n") * F.col("belief")).alias("found"), F.sum("n").alias("n"))
-        # A word at the edge of a token, as in "(tel:", may count fewer times than it is seen.
-        share = F.col("found") / (F.greatest("total", "n") + 1)
-        scored = beside.join(patterns, ["side", "word"]).select("side", "word", share.alias("score"))
-        scored = materialize(scored, "personal-scores")
-        if k + 1 < rounds:
-            doubt = F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.99)))))
-            belief = F.when(F.max("known"), 1.0).otherwise(1 - doubt)
-            scores = edges.join(scored, ["side", "word"]).groupBy("instance").agg(belief.alias("belief"))
-    return scored.filter(F.col("score") >= LEAST_SCORE)
+    # A word at the edge of a token, as in "(tel:", may count fewer times than it is seen.
+    total = F.greatest(F.coalesce("total", F.lit(0)), "n").alias("total")
+    patterns = patterns.join(totals, "word", "left").select("side", "word", total)
+    return edges, materialize(patterns, "personal-totals")
+
+
+def context_patterns(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """side, word, score of the patterns that are used."""
+    edges, patterns = _candidate_edges(docs, found)
+    seeds = edges.filter("known").select("instance").distinct()
+    seeds = materialize(seeds.select("instance", F.lit(1.0).alias("belief"), F.lit(1.0).alias("trust")), "personal-seeds")
+    beliefs, seen, k = seeds, None, 0
+    while True:
+        beside = edges.join(beliefs, "instance").groupBy("side", "word")
+        beside = beside.agg(F.sum(F.col("n") * F.col("belief")).alias("found"), F.sum("trust").alias("support"))
+        admitted = beside.filter(F.col("support") >= LEAST_SEEDS).join(patterns, ["side", "word"])
+        share = F.col("found") / (F.col("total") + 1)
+        scored = materialize(admitted.select("side", "word", share.alias("score")), "personal-scores")
+        trusted = F.col("score") >= LEAST_SCORE
+        k += 1
+        # Scores only grow from round to round, and so do the patterns, up to all words.
+        state = scored.agg(F.count("*"), F.count_if(trusted)).first()
+        if k >= rounds and state == seen:
+            return scored.filter(trusted)
+        seen = state
+        doubt = F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.99)))))
+        others = edges.filter("not known").join(scored, ["side", "word"]).groupBy("instance")
+        others = others.agg((1 - doubt).alias("belief"), F.max(trusted).alias("trusted"))
+        trust = F.when(F.col("trusted"), F.col("belief")).otherwise(0.0).alias("trust")
+        beliefs = seeds.unionAll(others.select("instance", "belief", trust))
 
 
 def _discovered(found: DataFrame, patterns: DataFrame) -> DataFrame:

@@ -71,6 +71,16 @@ def test_contexts_discover_what_no_form_covers(documents):
     assert got[21].spans == "" and got[3].n_email == 1 and got[3].n_context == 0
 
 
+def test_a_label_that_never_stands_beside_a_seed_is_reached(documents):
+    rows = [(i, f"Some words here, contact: user{i}@mail.example.com please") for i in range(40)]
+    rows += [(100 + i, f"Write today, contact: K-77-{i}x please") for i in range(20)]
+    rows += [(200 + i, f"for travel passport: K-77-{i}x is needed") for i in range(20)]
+    rows += [(300, "for travel passport: Z-99-1234y is needed"), (301, "there were 12345 words here")]
+    got = {r.doc_id: r for r in personal.personal_data(documents(rows)).collect()}
+    assert got[300].spans == "context:21:31" and rows[-2][1][21:31] == "Z-99-1234y"
+    assert got[200].n_context == 1 and got[301].spans == ""
+
+
 def test_redaction(documents):
     rows = [(1, "a@b.cd, 10.0.0.1"), (2, None), (3, "plain"), (3, "plain"), (4, "é: 4111111111111111 x")]
     rows += [(None, "z x@y.zz"), (5, "+1 (555) 123-4567")]
