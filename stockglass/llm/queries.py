@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockglass.llm import (
+    bpe,
     language,
     minhash,
     mixing,
@@ -119,6 +120,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_sentencepiece": op2_sentencepiece,
@@ -130,6 +135,7 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLE_SQL = {
     "op3_top_k_search": OP3_SQL,
