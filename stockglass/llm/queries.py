@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stockglass.llm import (
     bpe,
     language,
+    lloyd,
     minhash,
     mixing,
     personal,
@@ -120,6 +121,58 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+_NEAREST = """
+n{round} AS (
+  SELECT x.rn, x.part, x.v, arg_min(c.entry, {away} * 16 + c.entry) AS entry, min({away}) AS error
+  FROM parts x JOIN c{round} c ON x.part = c.part GROUP BY x.rn, x.part, x.v)"""
+_MOVED = """
+c{after} AS (
+  SELECT c.part, c.entry, coalesce(m.v, c.v) AS v
+  FROM c{round} c LEFT JOIN (
+    SELECT part, entry, list(x ORDER BY place) AS v FROM (
+      SELECT part, entry, place, CAST(floor(sum(v[place]) / count(*)) AS BIGINT) AS x
+      FROM n{round}, (SELECT unnest(range(1, width + 1)) AS place FROM size)
+      GROUP BY part, entry, place) GROUP BY part, entry) m
+  ON c.part = m.part AND c.entry = m.entry)"""
+_AWAY = "CAST(list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)"
+_ROUNDS = "".join(
+    _NEAREST.format(round=i, away=_AWAY) + "," + _MOVED.format(round=i, after=i + 1) + ","
+    for i in range(lloyd.ROUNDS)
+)
+OP12_SQL = f"""
+WITH kept AS (
+  SELECT vec_id, label, row_number() OVER () AS rn,
+         list_transform(embedding, lambda x: CAST(floor(4096 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+size AS (SELECT max(len(v)) // 8 AS width FROM kept),
+parts AS (
+  SELECT rn, vec_id, part, v[part * width + 1 : part * width + width] AS v
+  FROM kept, size, (SELECT unnest(range(8)) AS part)),
+c0 AS (
+  SELECT part, entry, v FROM (
+    SELECT part, v, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM parts)
+  WHERE entry < 16),
+{_ROUNDS}
+{_NEAREST.format(round=lloyd.ROUNDS, away=_AWAY)},
+books AS (
+  SELECT sha256(string_agg(x, ',' ORDER BY part, entry)) AS codebooks_sha256
+  FROM (SELECT part, entry, array_to_string(v, ',') AS x FROM c{lloyd.ROUNDS})),
+codes AS (
+  SELECT rn, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+         CAST(sum(error) AS BIGINT) AS error
+  FROM n{lloyd.ROUNDS} GROUP BY rn)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       codebooks_sha256
+FROM kept JOIN codes USING (rn) CROSS JOIN books
+"""
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -135,9 +188,11 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
+    "op12_vector_codes": op12_vector_codes,
     "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLE_SQL = {
     "op3_top_k_search": OP3_SQL,
     "op4_mix_sources": OP4_SQL,
+    "op12_vector_codes": OP12_SQL,
 }
