@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stockglass.llm import (
     bpe,
+    dialogue,
     language,
     lloyd,
     minhash,
@@ -121,6 +122,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.damage_reports(table(spark, sf_dir, "conversations"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.vector_codes(table(spark, sf_dir, "embeddings"))
 
@@ -188,6 +193,7 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_vector_codes": op12_vector_codes,
     "op13_byte_bpe": op13_byte_bpe,
 }

@@ -1,0 +1,190 @@
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from stockglass.llm import dialogue, queries
+from tests.llm.conftest import DATA
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+TALK = re.compile("(s?(ua)+)?")
+NEXT = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+
+def plain_damage(rows):
+    """{conv_id: its rows after damage, in order}."""
+    found = {}
+    for conv_id, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        inside = found.setdefault(conv_id, [])
+        name = f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(name.encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        inside += [(turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode())
+    return {i: sorted(inside, key=key) for i, inside in found.items()}
+
+
+def faults(rows):
+    out = []
+    for i, (_, role, text) in enumerate(rows):
+        letters = re.findall(r"[^\x20\x09-\x0D]", text)
+        again = (role, text) in [r[1:] for r in rows[:i]]
+        out.append("blank" if not letters else "duplicate" if again else "truncated" if letters[-1] not in ".!?" else "")
+    return out
+
+
+def plain_repair(rows, wrong):
+    """The least (cost, edits, lines): whole strings by what the talk ended with so far."""
+    best = {"": (0, "", ())}
+
+    def offer(found, state, way):
+        if state not in found or way[:2] < found[state][:2]:
+            found[state] = way
+
+    def inserted(found):
+        for _ in range(3):
+            for state, (cost, audit, lines) in list(found.items()):
+                for initial, role in (("u", "user"), ("a", "assistant")):
+                    if (state, initial) in NEXT:
+                        offer(found, NEXT[state, initial], (cost + 5, audit + "I", (*lines, f"{role}:")))
+        return found
+
+    for (_, role, text), fault in zip(rows, wrong):
+        found = {}
+        # Insertions are kept apart from the states they leave, so nothing is lost to them.
+        for state, (cost, audit, lines) in best.items():
+            for after, way in inserted({state: (cost, audit, lines)}).items():
+                cost_, audit_, lines_ = way
+                offer(found, after, (cost_ + 2, audit_ + "D", lines_))
+                if fault in ("blank", "duplicate"):
+                    continue
+                price = cost_ + 5 * (fault == "truncated")
+                for initial, new, letter, extra in ((role[:1], role, "K", 0), ("u", "user", "R", 1), ("a", "assistant", "R", 1)):
+                    if (after, initial) in NEXT:
+                        offer(found, NEXT[after, initial], (price + extra, audit_ + letter, (*lines_, f"{new}:{text}")))
+        best = found
+    ends = inserted(dict(best))
+    return min(ends[s] for s in ("", "a") if s in ends)
+
+
+def all_repairs(roles, wrong):
+    """The least (cost, edits) of all sequences of edits with few insertions."""
+    found = []
+
+    def go(i, cost, audit, initials, left):
+        if i == len(roles) and TALK.fullmatch(initials):
+            found.append((cost, audit))
+        if left:
+            for initial in "ua":
+                go(i, cost + 5, audit + "I", initials + initial, left - 1)
+        if i < len(roles):
+            go(i + 1, cost + 2, audit + "D", initials, left)
+            if wrong[i] not in ("blank", "duplicate"):
+                price = cost + 5 * (wrong[i] == "truncated")
+                go(i + 1, price, audit + "K", initials + roles[i][:1], left)
+                go(i + 1, price + 1, audit + "R", initials + "u", left)
+                go(i + 1, price + 1, audit + "R", initials + "a", left)
+
+    go(0, 0, "", "", 2)
+    return min(found)
+
+
+def plain_report(conv_id, rows):
+    wrong = faults(rows)
+    cost, audit, lines = plain_repair(rows, wrong)
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    counts = Counter(wrong)
+    return conv_id, gaps, counts["blank"], counts["duplicate"], counts["truncated"], illegal, cost, audit, digest
+
+
+COLUMNS = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+def both(spark, rows):
+    got = dialogue.damage_reports(spark.createDataFrame(rows, SCHEMA))
+    assert got.columns == COLUMNS
+    return Counter(map(tuple, got.collect())), Counter(plain_report(i, r) for i, r in plain_damage(rows).items())
+
+
+def test_query_equals_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/conversations.parquet").select(*SCHEMA.replace(",", "").split()[::2]).collect()]
+    got = queries.op11_conversation_repair(spark, DATA)
+    assert got.columns == COLUMNS
+    assert Counter(map(tuple, got.collect())) == Counter(plain_report(i, r) for i, r in plain_damage(rows).items())
+
+
+ROW = st.tuples(st.sampled_from(["user", "assistant", "system", "tool"]), st.sampled_from(["Yes.", "No!", "cut", "", "Ha?"]))
+
+
+@given(st.lists(ROW, max_size=6))
+@settings(deadline=None, max_examples=300)
+def test_the_cheapest_of_all_edits(rows):
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    wrong = faults(rows)
+    repair = dialogue.Repair()
+    for (turn, role, text), fault in zip(rows, wrong):
+        repair.add(turn, role, text, fault)
+    report = repair.report()
+    assert (report["cost"], report["audit"]) == all_repairs([r[1] for r in rows], wrong)
+
+
+@given(st.lists(ROW, max_size=60))
+@settings(deadline=None, max_examples=200)
+def test_long_conversations(rows):
+    rows = [(i, role, f"{i}{text}" if text else "") for i, (role, text) in enumerate(rows)]
+    wrong = faults(rows)
+    repair = dialogue.Repair()
+    for (turn, role, text), fault in zip(rows, wrong):
+        repair.add(turn, role, text, fault)
+    report = repair.report()
+    assert tuple(report[c] for c in COLUMNS[1:]) == plain_report(0, rows)[1:]
+
+
+def test_stacks_are_merged():
+    """However long a conversation is, there are few stacks, and few frontiers."""
+    dialogue.step.cache_clear()
+    repair = dialogue.Repair(hashed=False)
+    for i in range(20_000):
+        repair.add(i, "tuas"[i * i % 7 % 4] + "x", "x", ("", "truncated", "blank")[i * i % 11 % 3])
+        assert len(repair.frontier) <= len(dialogue.ACCEPT | set(dialogue.SHIFT.values()))
+    assert dialogue.step.cache_info().currsize < 3_000
+
+
+def test_cases(spark):
+    rows = [(1, t, "user" if t % 2 else "assistant", f"Row {t}.") for t in range(60)]
+    rows += [(2, None, None, None), (2, None, "user", "a."), (2, 4, "user", "a."), (2, 9, "assistant", "b!  \n")]
+    rows += [(None, 1, "user", "x."), (None, None, "assistant", "y."), (3, None, "", "z."), (3, 1, "", "z.")]
+    rows += [(4, 1, "user", "same"), (4, 1, "user", "same"), (4, 1, "assistant", "A " * 200_000 + "end.")]
+    rows += [(i, 0, "system", "Go.") for i in range(100, 140)]  # some lose their only row
+    rows += [(5, -(2**63), "user", "x."), (5, 2**63 - 1, "assistant", "y.")]
+    got, wanted = both(spark, rows)
+    top = Counter({(r[0], min(r[1], 2**63 - 1), *r[2:]): n for r, n in wanted.items()})
+    assert got == top
+    nothing = [r for r in got if r[6] == 0 and not r[7]]
+    assert nothing and all(r[8] == hashlib.sha256(b"").hexdigest() for r in nothing)
+    more = spark.createDataFrame(rows, SCHEMA).withColumn("gone", F.lit(True)).withColumn("kind", F.lit("x"))
+    more = more.withColumn("again", F.lit(1)).withColumn("fault", F.lit("blank")).withColumn("copy", F.lit(1))
+    assert Counter(map(tuple, dialogue.damage_reports(more).collect())) == top
+    assert dialogue.damage_reports(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_repaired_rows(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/conversations.parquet").select(*SCHEMA.replace(",", "").split()[::2]).collect()]
+    rows += [(None, 1, "user", "x."), (None, None, "tool", "y."), (7000, 1, "user", " ")]
+    got = {}
+    for r in dialogue.repaired(dialogue.damaged(spark.createDataFrame(rows, SCHEMA))).orderBy("conv_id", "place").collect():
+        lines = got.setdefault(r.conv_id, [])
+        assert r.place == len(lines)
+        lines.append(f"{r.role}:{r.text}")
+    for i, inside in plain_damage(rows).items():
+        assert got.get(i, []) == list(plain_repair(inside, faults(inside))[2])
+    assert dialogue.repaired(dialogue.clean(spark.createDataFrame([], SCHEMA))).collect() == []
