@@ -90,15 +90,25 @@ def with_calendar(df: DataFrame) -> DataFrame:
 def last_days(sales: DataFrame, inventory: DataFrame, week_end: str = DAY_OF_WEEK) -> DataFrame:
     """The closing rank per week, store and product, over days that have both a reading and a sale.
 
-    Sales shrink to their distinct keys before the shuffle, so a hot key costs
-    one row per task.
+    The days of a week are the bits of a number: one bit set for the sales, one for
+    the readings. Both come from a single aggregate, combined before its shuffle, so a
+    hot key costs one row per task, and no join is needed to find the days they share.
+    The last day is the top bit.
     """
-    sold = sales.select(*FACT_KEYS).distinct()
-    days = _readings(inventory).select(*FACT_KEYS).join(sold, list(FACT_KEYS), "left_semi")
+    bit = F.call_function("shiftleft", F.lit(1), closing_rank(F.col("trans_dt"), week_end))
+
+    def days(rows: DataFrame, sold: Column, read: Column) -> DataFrame:
+        week = week_start(F.col("trans_dt")).alias("wk_timestamp")
+        return rows.select(week, "store_key", "prod_key", sold.alias("sold"), read.alias("read"))
+
+    none = F.lit(0)
+    both = days(sales, bit, none).unionByName(days(_readings(inventory), none, bit))
+    shared = F.bit_or("sold").bitwiseAND(F.bit_or("read"))
     return (
-        days.withColumn("wk_timestamp", week_start(F.col("trans_dt")))
-        .groupBy(*WEEK_KEYS)
-        .agg(F.max(closing_rank(F.col("trans_dt"), week_end)).alias("last_day"))
+        both.groupBy(*WEEK_KEYS)
+        .agg(shared.alias("shared"))
+        .where("shared > 0")
+        .select(*WEEK_KEYS, (F.length(F.bin("shared")) - 1).alias("last_day"))
     )
 
 
@@ -109,16 +119,15 @@ def flag_last_of_week(
 
     This is the maximum over the whole (week, store, product) partition. A
     window would bring all fact rows of a group into one task, however hot the
-    group is. Here the maximum is an aggregate, it is attached to the inventory
-    readings (one per key and day), and the sales rows only pass the fact join.
+    group is. Here the maximum comes from the day bits, it is attached to the
+    inventory readings (one per key and day), and the sales rows only pass the fact
+    join.
     """
     readings = (
         with_calendar(_readings(inventory))
         .join(last_days(sales, inventory, week_end), list(WEEK_KEYS), "inner")
         .withColumn(
-            "last_inv_for_week_flag",
-            F.when(closing_rank(F.col("trans_dt"), week_end) == F.col("last_day"), F.lit(True))
-            .otherwise(F.lit(False)),
+            "last_inv_for_week_flag", closing_rank(F.col("trans_dt"), week_end) == F.col("last_day")
         )
         .drop("last_day")
     )

@@ -248,6 +248,31 @@ def test_flag_equals_window_form(tables):
     )
 
 
+def test_last_days_are_days_both_tables_share(spark):
+    sales = sales_of(spark, [(f"2023-05-0{d}", 1, 1, "1", "1") for d in (1, 3, 3, 5)] + [("2023-05-06", None, 1, "1", "1")])
+    shown = [("2023-05-01", "5"), ("2023-05-03", "6"), ("2023-05-04", "7"), ("2023-05-06", "9")]
+    inventory = inventory_of(spark, [(d, 1, 1, h, "0", 0) for d, h in shown] + [("2023-05-06", None, 1, "1", "0", 0)])
+    assert one(retail.last_days(sales, inventory)).last_day == 4  # Wednesday
+    assert one(retail.last_days(sales, inventory, DATE)).last_day == 3
+    assert retail.last_days(sales, inventory.where("cal_dt = '2023-05-04'")).collect() == []
+    flagged = retail.flag_last_of_week(sales, inventory).collect()
+    assert sorted((str(r.trans_dt), r.last_inv_for_week_flag) for r in flagged) == [
+        ("2023-05-01", False), ("2023-05-03", True), ("2023-05-03", True),
+    ]
+
+
+def test_last_of_week_plan_joins_twice(tables):
+    """One aggregate finds the days, one join attaches them, one meets the sales."""
+    spark = tables[0].sparkSession
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = final_plan(retail.flag_last_of_week(*tables))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hash") == 4 and "Window" not in plan
+
+
 def test_summary_plan_has_no_window_and_hashes(tables):
     plan = initial_plan(retail.weekly_summary(*tables))
     assert "Window" not in plan and "SortAggregate" not in plan
