@@ -99,7 +99,8 @@ def last_days(sales: DataFrame, inventory: DataFrame, week_end: str = DAY_OF_WEE
 
     def days(rows: DataFrame, sold: Column, read: Column) -> DataFrame:
         week = week_start(F.col("trans_dt")).alias("wk_timestamp")
-        return rows.select(week, "store_key", "prod_key", sold.alias("sold"), read.alias("read"))
+        bits = rows.select(week, "store_key", "prod_key", sold.alias("sold"), read.alias("read"))
+        return bits.dropna(subset=list(WEEK_KEYS))  # rows without a key meet nothing
 
     none = F.lit(0)
     both = days(sales, bit, none).unionByName(days(_readings(inventory), none, bit))

@@ -24,7 +24,7 @@ from stockglass.plans.weekly import run_weekly
 from stockglass.schemas import INVENTORY, SALES, STATION_DATE, STATION_YEAR
 from stockglass.session import scratch_dir
 from stockglass.sinks import publish
-from stockglass.sources.csv_set import SPLIT_KEYS, read_csv_set
+from stockglass.sources.csv_set import read_csv_set
 from stockglass.sources.items import ensure_items_table, latest_items, read_items, sync_items_table
 from stockglass.sources.landing import NULL_TEXT, landing_path, list_landing, read_landing
 from stockglass.sources.warehouse import read_table
@@ -306,21 +306,22 @@ def union_csv_by_name(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def union_csv_with_index(spark: SparkSession, sf: str) -> DataFrame:
-    """Every row with its number beside the number it should have: files with a row
-    for a line hold their line numbers, and come in the order of their paths."""
+    """Every row with its number beside the number it should have: the files of a kind
+    hold ranges of days in the order of their paths."""
     base = scratch_dir(spark, "numbered")
     days = st.climate(spark, sf).select(
         column(STATION_YEAR).cast("int").alias("y"), column(STATION_DATE).alias("d")
     )
     days = days.withColumn("day", short_date(F.col("d")))
     for folder, wanted in (("a odd", "y % 2 = 1"), ("b [even]", "y % 2 = 0")):
-        # A few hundred rows a year, so one file for each kind holds a few thousand.
         part = days.where(wanted).select(F.col("y").alias("Year"), "d", F.lit(folder).alias("kind"), "day")
-        one = part.coalesce(1).sortWithinPartitions("day").drop("day")
-        _write_csv(one if "odd" in folder else one.select("kind", "d", "Year"), f"{base}/{folder}")
+        ranges = part.repartitionByRange(8, "day").sortWithinPartitions("day").drop("day")
+        _write_csv(ranges if "odd" in folder else ranges.select("kind", "d", "Year"), f"{base}/{folder}")
     files = f"{base}/*/*.csv"
     rows = read_csv_set(spark, files, missing=(), with_split=True)
-    return combine.with_row_index(rows, SPLIT_KEYS).select("row_index", "kind", F.col("d").alias("date_text"))
+    return combine.with_row_index(rows, combine.SPLIT_KEYS).select(
+        "row_index", "kind", F.col("d").alias("date_text")
+    )
 
 
 # Landing and publication

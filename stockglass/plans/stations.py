@@ -15,9 +15,9 @@ from stockglass.operators.climate import (
     to_rejects,
     to_wide,
 )
-from stockglass.operators.combine import with_row_index
+from stockglass.operators.combine import SPLIT_KEYS, with_row_index
 from stockglass.sinks.export import export_csv
-from stockglass.sources.csv_set import SPLIT_KEYS, read_csv_set, read_station_files
+from stockglass.sources.csv_set import read_csv_set, read_station_files
 from stockglass.sources.items import (
     count_batch,
     ensure_items_table,

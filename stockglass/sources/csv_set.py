@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from stockglass.functions.names import column, header_names
-from stockglass.operators.combine import union_by_name
+from stockglass.operators.combine import READ_POSITION, SPLIT_KEYS
+from stockglass.session import scratch_dir
 
 # Where a row came from: file time, file path, reading position.
 ARRIVAL = "_arrival"
-SPLIT_KEYS = ("_file_path", "_split_start")
+_PLACES = "_places"
 
 # Texts that mean "missing", as pandas reads them by default.
 MISSING_TEXTS = (
@@ -49,25 +51,38 @@ def header_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def file_headers(
-    spark: SparkSession, paths: str | Sequence[str]
-) -> dict[str, str | Sequence[str]]:
-    """Header line -> the files that begin with it, both sorted by path.
+@dataclass(frozen=True)
+class Layout:
+    """How the files of a set are laid out.
 
-    If one header covers all files, they are ``paths`` as given, and only that line
-    reaches the driver. Else one row per file does.
+    ``names``: all columns, in the order of their first appearance in the order of
+    paths. ``width``: the most columns a header has. ``places``: a row per file, with
+    the position of each of the names in its header, null where it has none; None if
+    one header covers all files.
     """
-    lines = header_lines(spark, paths).persist()
-    try:
-        headers = lines.groupBy("value").count().collect()
-        if len(headers) == 1:
-            return {headers[0].value: paths}
-        groups: dict[str, list[str]] = {}
-        for row in sorted(lines.collect(), key=lambda r: r.file_path):
-            groups.setdefault(row.value, []).append(plain_path(row.file_path))
-        return groups
-    finally:
-        lines.unpersist()
+
+    names: list[str]
+    width: int
+    places: DataFrame | None
+
+
+def file_layout(spark: SparkSession, paths: str | Sequence[str]) -> Layout:
+    """Reads the headers. The driver sees each distinct header once, never the files."""
+    folder = scratch_dir(spark, "headers")
+    header_lines(spark, paths).write.parquet(folder)
+    lines = spark.read.schema("file_path string, value string").parquet(folder)
+    found = lines.groupBy("value").agg(F.min("file_path").alias("first")).collect()
+    headers = {r.value: header_names(r.value) for r in sorted(found, key=lambda r: r.first)}
+    names = list(dict.fromkeys(name for header in headers.values() for name in header))
+    width = max(map(len, headers.values()), default=0)
+    if len({tuple(header) for header in headers.values()}) <= 1:
+        return Layout(names, width, None)
+    rows = [
+        (value, [header.index(name) if name in header else None for name in names])
+        for value, header in headers.items()
+    ]
+    known = spark.createDataFrame(rows, f"value string, {_PLACES} array<int>")
+    return Layout(names, width, lines.join(known, "value").select("file_path", _PLACES))
 
 
 def plain_path(uri: str) -> str:
@@ -89,27 +104,14 @@ def row_arrival(of_file: Column) -> Column:
     return of_file.withField("row", F.monotonically_increasing_id())
 
 
-def _read_group(
-    spark: SparkSession,
-    names: Sequence[str],
-    paths: Sequence[str],
-    missing: Sequence[str],
-    extra: Sequence[Column],
-    multi_line: bool,
-) -> DataFrame:
-    fields = [f"field_{i}" for i in range(len(names))]
-    rows = (
-        spark.read.schema(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(list(paths))
-    )
-
-    def cleaned(field: str) -> Column:
-        return F.when(~F.col(field).isin(*missing), F.col(field)) if missing else F.col(field)
-
-    return rows.select(*[cleaned(f).alias(n) for f, n in zip(fields, names)], *extra)
+def _fixed_splits(spark: SparkSession) -> SparkSession:
+    """A session whose file splits do not depend on how many cores there are just now."""
+    fixed = spark.newSession()
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        fixed.conf.set(key, spark.conf.get(key))
+    cores = spark.sparkContext.defaultParallelism
+    fixed.conf.set("spark.sql.files.minPartitionNum", spark.conf.get("spark.sql.files.minPartitionNum", None) or str(cores))
+    return fixed
 
 
 def read_csv_set(
@@ -123,29 +125,46 @@ def read_csv_set(
 ) -> DataFrame:
     """All rows of all files, columns matched by name. Values stay text.
 
-    A plain read of such files goes by position and mixes columns up. Here
-    files with the same header are read together, so the plan grows with the
-    number of distinct headers, not of files. A header must not span lines. Values
-    may with ``multi_line``; files are then not split.
+    A plain read of such files goes by position and mixes columns up. Here all files
+    are read in one scan, by position, and each row's values are put in the places of
+    its file's header. Files and places are joined by path: as a broadcast while Spark
+    finds them small, else by a shuffle. So the plan is the same for any number of
+    files, and grows with the columns only. A header must not span lines. Values may
+    with ``multi_line``; files are then not split. ``with_split`` adds what
+    :func:`stockglass.operators.combine.with_row_index` numbers rows by.
     """
-    extra: list[Column] = []
+    layout = file_layout(spark, paths)
+    fields = [f"field_{i}" for i in range(layout.width)]
+    reader = _fixed_splits(spark).read if with_split else spark.read
+    rows = (
+        reader.schema(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
+        .option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .csv(paths if isinstance(paths, str) else list(paths))
+    )
+    extra: dict[str, Column] = {}
     if with_arrival:
-        extra.append(row_arrival(file_arrival()).alias(ARRIVAL))
+        extra[ARRIVAL] = row_arrival(file_arrival())
     if with_split:
-        extra += [
-            F.col("_metadata.file_path").alias(SPLIT_KEYS[0]),
-            F.col("_metadata.file_block_start").alias(SPLIT_KEYS[1]),
-        ]
-    by_names: dict[tuple[str, ...], list[str]] = {}
-    for line, files in file_headers(spark, paths).items():
-        files = [files] if isinstance(files, str) else files
-        by_names.setdefault(tuple(header_names(line)), []).extend(files)
-    parts = [_read_group(spark, n, files, missing, extra, multi_line) for n, files in by_names.items()]
-    combined = union_by_name(parts)
-    tail = [c for c in combined.columns if c == ARRIVAL or c in SPLIT_KEYS]
-    return combined.select(
-        *[column(c) for c in combined.columns if c not in tail], *[column(c) for c in tail]
-    )
+        split = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+        extra |= dict(zip(SPLIT_KEYS, split)) | {READ_POSITION: F.monotonically_increasing_id()}
+
+    def cleaned(value: Column) -> Column:
+        return F.when(~value.isin(*missing), value) if missing else value
+
+    tail = [value.alias(name) for name, value in extra.items()]
+    if layout.places is None:
+        named = [cleaned(F.col(f)).alias(n) for f, n in zip(fields, layout.names)]
+        return rows.select(*named, *tail)
+    # What tells where a row was read is computed before the join, which may move rows.
+    values = F.array(*[F.col(f) for f in fields]).alias("_values")
+    placed = rows.select(values, F.col("_metadata.file_path").alias("file_path"), *tail)
+    placed = placed.join(layout.places, "file_path")
+    named = [
+        cleaned(F.get("_values", F.get(_PLACES, F.lit(i)))).alias(n) for i, n in enumerate(layout.names)
+    ]
+    return placed.select(*named, *extra)
 
 
 def read_station_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

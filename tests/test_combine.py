@@ -7,9 +7,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from stockglass.operators.combine import union_by_name, with_row_index
+from stockglass.operators.combine import SPLIT_KEYS, union_by_name, with_row_index
 from stockglass.plans.stations import combine_stations
-from stockglass.sources.csv_set import SPLIT_KEYS, file_headers, read_csv_set
+from stockglass.sources.csv_set import file_layout, read_csv_set
+from tests.plans import initial_plan
 
 
 def put(path, header, *rows):
@@ -44,8 +45,10 @@ def test_headers_are_found_in_small_and_split_files(spark, tmp_path):
     before = [spark.conf.get(s) for s in sizes]
     try:
         spark.conf.set(sizes[0], "20KB")
-        found = file_headers(spark, f"{tmp_path}/*.csv")
-        assert {h: len(f) for h, f in found.items()} == {"a,b": 6, "b,a": 6, "z": 1}
+        layout = file_layout(spark, f"{tmp_path}/*.csv")
+        assert layout.names == ["b", "a", "z"] and layout.width == 2
+        places = sorted(str(r[1]) for r in layout.places.collect())
+        assert places == ["[0, 1, None]"] * 6 + ["[1, 0, None]"] * 6 + ["[None, None, 0]"]
         assert spark.conf.get(sizes[1]) == before[1]
         assert read_csv_set(spark, f"{tmp_path}/*.csv").count() == sum(range(1, 13)) + 30000
     finally:
@@ -103,6 +106,44 @@ def test_row_index_follows_path_and_position(spark, tmp_path):
     assert [r.name for r in sorted(rows, key=lambda r: r.row_index)] == wanted
 
 
+def test_places_and_numbers_do_not_depend_on_how_tables_are_joined(spark, tmp_path):
+    """Many files, more than one header, every join by a shuffle, splits of some bytes."""
+    wanted = []
+    for i in range(40):
+        header = [["n", "name"], ["name", "n"], ["x", "name", "n"]][i % 3]
+        rows = [{"name": f"{i:02}-{j:03}", "n": str(j), "x": "y"} for j in range(i * 7 % 30)]
+        put(tmp_path / f"{i:02}.csv", header, *[[r[h] for h in header] for r in rows])
+        wanted += [(r["name"], r["n"], "y" if i % 3 == 2 else None) for r in rows]
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.files.maxPartitionBytes": "300B",
+        "spark.sql.files.openCostInBytes": "10B",
+    }
+    before = {k: spark.conf.get(k, None) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        rows = with_row_index(read_csv_set(spark, f"{tmp_path}/*.csv", with_split=True), SPLIT_KEYS)
+        assert rows.columns == ["row_index", "n", "name", "x"]
+        got = sorted(rows.select("row_index", "name", "n", "x").collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert [tuple(r) for r in got] == [(i, *w) for i, w in enumerate(wanted)]
+
+
+def test_the_plan_does_not_grow_with_files(spark, tmp_path):
+    def plan(files):
+        for i in range(files):
+            put(tmp_path / str(files) / f"{i:03}.csv", ["a", "b"] if i % 2 else ["b", "a"], ["1", "2"])
+        return initial_plan(read_csv_set(spark, f"{tmp_path}/{files}/*.csv"))
+
+    few, many = plan(4), plan(60)
+    assert len(few.splitlines()) == len(many.splitlines())
+    assert many.count("Scan csv") == few.count("Scan csv") == 1
+
+
 def test_row_index_without_split_keys(spark):
     df = with_row_index(spark.range(0, 1000, numPartitions=7))
     assert df.where(F.col("row_index") != F.col("id")).count() == 0 and df.count() == 1000
