@@ -331,7 +331,10 @@ ORACLE_SQL: dict[str, str] = {
         SELECT {_ITEM_COLUMNS} FROM ranked WHERE rn = 1""",
     "climate_export_csv": f"""WITH{_CLIMATE}
         SELECT {_ITEM_COLUMNS} FROM items {_IN_RANGE}""",
-    "climate_stream_load": f"WITH{_CLIMATE} SELECT {_ITEM_COLUMNS} FROM items",
+    "climate_stream_load": f"""WITH{_CLIMATE}
+        SELECT "year", "date", CASE WHEN "year" <> '1997' THEN "data-quality" END AS "data-quality",
+               "max-temp-c"
+        FROM items""",
     "union_csv_by_name": f"""WITH{_CLIMATE}
         SELECT station_year AS "Year", date_text AS "Date/Time", max_temp AS "Max Temp (°C)",
                CASE WHEN station_year <> '1997' THEN quality END AS "Data Quality"

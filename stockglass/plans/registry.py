@@ -259,25 +259,20 @@ def _write_csv(df: DataFrame, path: str) -> None:
 
 
 def climate_stream_load(spark: SparkSession, sf: str) -> DataFrame:
-    """All station rows as arriving files, streamed into the item log one file at a time;
-    the years do not include that of one of the files."""
+    """All station rows as arriving files of differing headers, streamed into the item log
+    some files at a time. One layout lacks a key column; years beside the wanted ones come too."""
     from stockglass.streaming.stations import start_station_load
 
-    source, path = scratch_dir(spark, "arriving"), scratch_dir(spark, "items")
-    rows = st.climate(spark, sf)
-    _write_csv(rows.hint("rebalance", STATION_YEAR), f"{source}/rows")
+    path = scratch_dir(spark, "items")
+    files = _write_station_set(spark, sf)
+    source = files.removesuffix("/*/*.csv")
+    rows = spark.read.parquet(f"{source}-rows")
+    _write_csv(rows.drop(STATION_DATE).repartitionByRange(2, STATION_YEAR), f"{source}/d_dateless")
     strange = rows.withColumn(STATION_YEAR, F.concat(F.lit("no "), column(STATION_YEAR)))
-    _write_csv(strange.coalesce(1), f"{source}/strange")
+    _write_csv(strange.repartitionByRange(2, STATION_YEAR), f"{source}/e_strange")
     years = [r[0] for r in rows.select(column(STATION_YEAR)).distinct().collect()]
-    query = start_station_load(
-        spark,
-        f"{source}/*",
-        rows.columns,
-        years,
-        path,
-        scratch_dir(spark, "stream"),
-        files_per_batch=1,
-    )
+    state = scratch_dir(spark, "stream")
+    query = start_station_load(spark, f"{source}/*", years, path, state, files_per_batch=9)
     query.awaitTermination()
     return cl.to_wide(read_items(spark, path))
 

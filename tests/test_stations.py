@@ -216,7 +216,7 @@ def test_stream_loads_new_files_once(spark, tmp_path):
     source, path, state = tmp_path / "in", str(tmp_path / "items"), str(tmp_path / "state")
 
     def run():
-        start_station_load(spark, str(source), HEADER, [2019, 2020], path, state).awaitTermination()
+        start_station_load(spark, str(source), [2019, 2020], path, state).awaitTermination()
         return items_of(log.read_items(spark, path))
 
     put(source, "a.csv", ["2020", "1/1/20", "1", "q"], ["2019", "1/1/19", "5", ""], ["2018", "1/1/18", "5", ""])
@@ -236,7 +236,7 @@ def test_stream_splits_a_backlog_and_the_later_batch_wins(spark, tmp_path):
         put(source, f"{i}.csv", ["2020", "1/1/20", str(i), ""], ["2020", f"1/{i + 2}/20", "x", ""])
         os.utime(source / f"{i}.csv", (1_600_000_000 + i, 1_600_000_000 + i))
     start_station_load(
-        spark, str(source), HEADER, 2020, path, str(tmp_path / "state"), files_per_batch=1, first_batch_id=5
+        spark, str(source), 2020, path, str(tmp_path / "state"), files_per_batch=1, first_batch_id=5
     ).awaitTermination()
     batches = {r.batch_id for r in log.read_log(spark, path).select("batch_id").collect()}
     assert batches == {5, 6, 7}
@@ -244,13 +244,55 @@ def test_stream_splits_a_backlog_and_the_later_batch_wins(spark, tmp_path):
     assert len(items) == 4 and items["2020", "2020-01-01"] == {"max-temp-c": "2"}
 
 
-def test_stream_stops_at_another_header(spark, tmp_path):
-    put(tmp_path / "in", "a.csv", ["1", "2020", "1/1/20", "q"], header=["Max Temp (°C)", "Year", "Date/Time", "Data Quality"])
-    query = start_station_load(
-        spark, str(tmp_path / "in"), HEADER, 2020, str(tmp_path / "items"), str(tmp_path / "state")
-    )
+def test_stream_takes_any_header_and_quarantines_what_it_cannot_load(spark, tmp_path):
+    source, path = tmp_path / "in x", str(tmp_path / "items")
+    put(source, "a.csv", ["2020", "1/1/20", "1", "q"])
+    put(source, "b[1].csv", ["7", "2020", "1/2/20", "q"], header=["Max Temp (°C)", "Year", "Date/Time", "Data Quality"])
+    put(source, "c.csv", ["1/3/20", "new", "2020"], header=["Date/Time", "Snow (cm)", "Year"])
+    put(source, "d.csv", ["2020", "1/4/20"], header=["Year", "Day"])
+    put(source, "e.csv", ["2020", "1/5/20", "1", "2"], header=["Year", "Date/Time", "Rain", "rain"])
+    put(source, "f.csv", ["2020", "1/6/20", "1"], header=["Year", "Date/Time", "MAX TEMP (°C)"])
+    (source / "g.csv").write_text("\n")
+    (source / "nothing.csv").write_text("")  # without a byte it does not arrive
+    (source / "h.csv").write_text("Year,Date/Time\n")
+    start_station_load(spark, str(source), 2020, path, str(tmp_path / "state")).awaitTermination()
+    wanted = {
+        ("2020", "2020-01-01"): {"max-temp-c": "1", "data-quality": "q"},
+        ("2020", "2020-01-02"): {"max-temp-c": "7", "data-quality": "q"},
+        ("2020", "2020-01-03"): {"snow-cm": "new"},
+    }
+    assert items_of(log.read_items(spark, path)) == wanted
+    put_aside = {Path(r.path).name: r.reason for r in spark.read.parquet(f"{path}-quarantine").collect()}
+    assert put_aside == {
+        "d.csv": "no column Date/Time",
+        "e.csv": "columns 'Rain' and 'rain' differ only in case",
+        "f.csv": "columns 'Max Temp (°C)' and 'MAX TEMP (°C)' differ only in case",
+        "g.csv": "no column Year, Date/Time",
+    }
+    report = spark.read.parquet(f"{path}-reports").first()
+    assert (report.rows, report.files, report.quarantined) == (3, 8, 4)
+
+
+def test_a_batch_that_failed_half_way_is_replayed_exactly(spark, tmp_path, monkeypatch):
+    """The log is written, the report is not; the stream starts again with the same files."""
+    from stockglass.streaming import stations as streaming
+
+    source, path, state = tmp_path / "in", str(tmp_path / "items"), str(tmp_path / "state")
+    put(source, "a.csv", ["2020", "1/1/20", "1", ""], ["2020", "99/1/20", "1", ""])
+    put(source, "b.csv", ["x"], header=["Year"])
+    real = streaming.load_stations
+    monkeypatch.setattr(streaming, "load_stations", lambda *a: real(*a) and 1 / 0)
     with pytest.raises(PySparkException):
-        query.awaitTermination()
+        start_station_load(spark, str(source), 2020, path, state).awaitTermination()
+    assert len(items_of(log.read_items(spark, path))) == 1
+    monkeypatch.setattr(streaming, "load_stations", real)
+    put(source, "c.csv", ["2020", "1/1/20", "3", ""])
+    start_station_load(spark, str(source), 2020, path, state).awaitTermination()
+    assert items_of(log.read_items(spark, path)) == {("2020", "2020-01-01"): {"max-temp-c": "3"}}
+    counts = spark.read.parquet(f"{path}-reports").orderBy("batch_id").collect()
+    assert [(r.batch_id, r.rows, r.rejected, r.files, r.quarantined) for r in counts] == [(0, 2, 1, 2, 1), (1, 1, 0, 1, 0)]
+    assert log.read_log(spark, path).count() == 2
+    assert spark.read.parquet(f"{path}-rejects").count() == 1
 
 
 def test_a_file_without_a_wanted_row_is_an_empty_batch(spark, tmp_path):
@@ -291,7 +333,7 @@ def test_stream_goes_on_after_a_batch_without_a_wanted_row(spark, tmp_path):
     for i, row in enumerate(files):
         put(source, f"{i}.csv", row)
         os.utime(source / f"{i}.csv", (1_600_000_000 + i, 1_600_000_000 + i))
-    start_station_load(spark, str(source), HEADER, 2020, path, str(tmp_path / "state"), files_per_batch=1).awaitTermination()
+    start_station_load(spark, str(source), 2020, path, str(tmp_path / "state"), files_per_batch=1).awaitTermination()
     assert items_of(log.read_items(spark, path)) == {("2020", "2020-01-01"): {"max-temp-c": "3"}}
     reports = spark.read.parquet(f"{path}-reports").orderBy("batch_id").collect()
     assert [(r.rows, r.rejected) for r in reports] == [(0, 0), (1, 1), (1, 0)]
