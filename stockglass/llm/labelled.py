@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from stockglass.llm.common import held_out
 
+HASH_BITS = 14  # of the hash that rows are counted by
+
 
 def training_labels(labels: DataFrame, column: str, folds: int, fold: int, rows: int) -> DataFrame:
     """doc_id, label: at most ``rows`` labelled documents outside the held-out fold.
@@ -17,12 +19,17 @@ def training_labels(labels: DataFrame, column: str, folds: int, fold: int, rows:
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1))
     known = known.filter(~held_out(F.col("doc_id"), folds, fold))
-    return (
-        known.groupBy("doc_id")
-        .agg(F.max(column).cast("int").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
-    )
+    known = known.groupBy("doc_id").agg(F.max(column).cast("int").alias("label"))
+    # Only rows below the hash that leaves enough of them are put in order.
+    step = F.shiftright(F.xxhash64("doc_id"), 64 - HASH_BITS)
+    counts = sorted(known.groupBy(step.alias("step")).count().collect())
+    last, seen = None, 0
+    for last, count in counts:
+        seen += count
+        if seen >= rows:
+            break
+    few = known.filter(step <= F.lit(last)) if seen >= rows else known
+    return few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
 def training_documents(docs: DataFrame, chosen: DataFrame, *more: str) -> DataFrame:

@@ -8,9 +8,15 @@ the alphabet, and single characters by brute force. A value is reported as
 ``guess`` if even that takes ``LEAST_COST`` decimal digits of guesses. Common words are
 those of the corpus itself, counted over all documents, ranked by frequency.
 
+Words, dates and the block of a repeat have ``LONGEST`` characters at most; repeats
+and walks are of any length. One longer than that ends within so many characters of where
+it can't go on, and no segment begins deep inside a long repeat, as going on with it is
+cheaper. Positions that cost enough already are not gone on from, so a long value takes
+time in proportion to its length, and a hard one is decided after some characters.
+
 Positions are code points, ends exclusive. Cases: a null text is empty and has no
-spans; texts are read whole, of any length; repeated rows are read one by one. An
-empty table gives no rows. Other columns are ignored.
+spans; texts and values are read whole, of any length; repeated rows are read one by
+one. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,11 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockglass.llm.common import materialize
+
 KINDS = ("assign", "access", "hex", "guess")
 LEAST_COST = 10.0
 RANKED_WORDS = 10_000
+STEPS = 16  # sizes of counts that words are sorted into, for each doubling
+ORDERED_PARTS = 8  # parts whose most frequent words reach the driver
 COUNTED_WORDS = 300_000  # words a task counts before it hands its counts on
-LONGEST_SEGMENT = 24
+LONGEST = 24
 SEGMENT_COST = math.log10(2)  # for each segment: where it ends, and of which sort it is
 
 _ASSIGN = re.compile(
@@ -92,13 +102,34 @@ def date_cost(piece: str) -> float:
     return math.inf if m is None else _YEAR if m["y"] else _DATE
 
 
-def repeat_cost(piece: str) -> float:
-    """Cost of a block of up to four characters, repeated."""
-    for size in range(1, 5):
+def block_cost(block: str, ranks: dict[str, int]) -> float:
+    """Cost of what a repeat repeats: characters, or if it is longer its segments."""
+    return sum(map(character_cost, block)) if len(block) <= 4 else guess_cost(block, ranks)
+
+
+def repeat_cost(piece: str, ranks: dict[str, int]) -> float:
+    """Cost of a block, repeated."""
+    costs = [math.inf]
+    for size in range(1, min(LONGEST, len(piece) // 2) + 1):
         times, rest = divmod(len(piece), size)
-        if times >= 2 and not rest and len(piece) >= 3 and piece == piece[:size] * times:
-            return sum(map(character_cost, piece[:size])) + math.log10(times)
-    return math.inf
+        if not rest and len(piece) >= 3 and piece == piece[:size] * times:
+            costs.append(block_cost(piece[:size], ranks) + math.log10(times))
+    return min(costs)
+
+
+def _alphabet_cost(length: int, step: int) -> float:
+    return math.log10(26 * length) + 0.3 * (step < 0)
+
+
+def _keyboard_cost(length: int, turns: int, capitals: bool) -> float:
+    return math.log10(47 * length) + turns * math.log10(4.6) + 0.3 * capitals
+
+
+def _move(a: str, b: str) -> tuple[float, int] | None:
+    """The way from a key to its neighbour; None if they are no neighbours."""
+    (ax, ay), (bx, by) = _KEYS.get(a.lower(), (9e9, 0)), _KEYS.get(b.lower(), (-9e9, 0))
+    dx, dy = bx - ax, by - ay
+    return (dx, dy) if abs(dx) <= 1 and abs(dy) <= 1 and (dx, dy) != (0, 0) else None
 
 
 def walk_cost(piece: str) -> float:
@@ -107,33 +138,121 @@ def walk_cost(piece: str) -> float:
         return math.inf
     steps = {ord(b) - ord(a) for a, b in zip(piece, piece[1:])}
     if steps in ({1}, {-1}):
-        return math.log10(26 * len(piece)) + 0.3 * (steps == {-1})
-    keys = [_KEYS.get(c) for c in piece.lower()]
-    if None in keys:
-        return math.inf
-    moves = [(bx - ax, by - ay) for (ax, ay), (bx, by) in zip(keys, keys[1:])]
-    if any(abs(dx) > 1 or abs(dy) > 1 or (dx, dy) == (0, 0) for dx, dy in moves):
+        return _alphabet_cost(len(piece), steps.pop())
+    moves = [_move(a, b) for a, b in zip(piece, piece[1:])]
+    if None in moves:
         return math.inf
     turns = 1 + sum(a != b for a, b in zip(moves, moves[1:]))
-    capitals = 0.3 * any(c.isupper() for c in piece)
-    return math.log10(47 * len(piece)) + turns * math.log10(4.6) + capitals
+    return _keyboard_cost(len(piece), turns, any(c.isupper() for c in piece))
 
 
 def segment_cost(piece: str, ranks: dict[str, int]) -> float:
     """The cheapest way to guess ``piece`` as one segment."""
     if len(piece) == 1:
         return character_cost(piece)
-    cheapest = min(word_cost(piece, ranks), date_cost(piece), repeat_cost(piece), walk_cost(piece))
+    cheapest = min(repeat_cost(piece, ranks), walk_cost(piece))
+    if len(piece) <= LONGEST:
+        cheapest = min(cheapest, word_cost(piece, ranks), date_cost(piece))
     return SEGMENT_COST + cheapest
 
 
-def guess_cost(value: str, ranks: dict[str, int]) -> float:
-    """Decimal digits of the guesses the cheapest segmentation of ``value`` takes."""
-    costs = [0.0]
-    for end in range(1, len(value) + 1):
-        starts = range(max(0, end - LONGEST_SEGMENT), end)
-        costs.append(min(costs[start] + segment_cost(value[start:end], ranks) for start in starts))
-    return costs[-1]
+def _alike(value: str, i: int, j: int) -> int:
+    """How many characters from ``i`` and from ``j`` on are the same; i < j."""
+    low, size = 0, 64
+    while value[i + low : i + low + size] == value[j + low : j + low + size] and j + low < len(value):
+        low += min(size, len(value) - j - low)
+        size *= 2
+    while size:
+        if j + low + size <= len(value) and value[i + low : i + low + size] == value[j + low : j + low + size]:
+            low += size
+        size //= 2
+    return low
+
+
+class _Walks:
+    """The walks of a value. Each is followed once, from where it is first asked for."""
+
+    def __init__(self, value: str):
+        self.value = value
+        self.begin = self.end = 0  # of the keys followed last
+        self.turns: list[int] = []  # changes of way up to each move
+        self.capitals: list[int] = []  # capitals before each key
+
+    def _follow(self, start: int) -> None:
+        self.begin, self.turns, self.capitals = start, [], [0]
+        at, way = start, None
+        while at + 1 < len(self.value):
+            move = _move(self.value[at], self.value[at + 1])
+            if move is None:
+                break
+            self.turns.append((self.turns[-1] if self.turns else 0) + (way is not None and move != way))
+            self.capitals.append(self.capitals[-1] + self.value[at].isupper())
+            at, way = at + 1, move
+        self.end = at + 1
+        self.capitals.append(self.capitals[-1] + self.value[at].isupper())
+
+    def from_(self, start: int) -> Iterator[tuple[int, float]]:
+        """(end, cost) of walks from ``start`` on."""
+        value = self.value
+        if start + 1 < len(value) and abs(step := ord(value[start + 1]) - ord(value[start])) == 1:
+            end = start + 2
+            while end < len(value) and ord(value[end]) - ord(value[end - 1]) == step:
+                end += 1
+            for stop in _ends(start + 3, end, start):
+                yield stop, _alphabet_cost(stop - start, step)
+        if not self.begin <= start < self.end:
+            self._follow(start)
+        first, begin = start - self.begin, self.begin
+        for stop in _ends(start + 3, self.end, start):
+            turns = 1 + self.turns[stop - 2 - begin] - self.turns[first]
+            capitals = self.capitals[stop - begin] > self.capitals[first]
+            yield stop, _keyboard_cost(stop - start, turns, capitals)
+
+
+def _ends(first: int, last: int, start: int, size: int = 1) -> Iterator[int]:
+    """The ends, ``size`` apart from ``first`` to ``last``, that are near ``start`` or ``last``."""
+    near = min(last, start + LONGEST)
+    yield from range(first, near + 1, size)
+    if last > near:
+        far = max(near + 1, last - LONGEST)
+        yield from range(far + (first - far) % size, last + 1, size)
+
+
+def guess_cost(value: str, ranks: dict[str, int], enough: float = math.inf) -> float:
+    """Decimal digits of the guesses the cheapest segmentation of ``value`` takes. Any
+    cost of ``enough`` may come back as infinite."""
+    n = len(value)
+    costs = [0.0] + [math.inf] * n
+    walks = _Walks(value)
+    reach = inside = 0  # the last end that is cheap enough; the end of a long repeat's inner part
+    for start in range(n):
+        if start > reach:
+            break
+        base = costs[start]
+        if base >= enough or start < inside:
+            continue
+        found = [(start + 1, character_cost(value[start]))]
+        for end in range(start + 2, min(n, start + LONGEST) + 1):
+            piece = value[start:end]
+            found.append((end, SEGMENT_COST + word_cost(piece, ranks)))
+            if piece[0].isdigit():
+                found.append((end, SEGMENT_COST + date_cost(piece)))
+        for size in range(1, min(LONGEST, (n - start) // 2) + 1):
+            if value[start : start + size] == value[start + size : start + 2 * size]:
+                last = start + size + _alike(value, start, start + size)
+                cost = SEGMENT_COST + block_cost(value[start : start + size], ranks)
+                for end in _ends(start + 2 * size, last, start, size):
+                    if end - start >= 3:
+                        found.append((end, cost + math.log10((end - start) // size)))
+                if start >= LONGEST and last - start > 4 * LONGEST:
+                    inside = max(inside, last - 3 * LONGEST)
+        found += [(end, SEGMENT_COST + cost) for end, cost in walks.from_(start)]
+        for end, cost in found:
+            if base + cost < costs[end]:
+                costs[end] = base + cost
+                if base + cost < enough:
+                    reach = max(reach, end)
+    return costs[n]
 
 
 def base_spans(text: str, lower: str) -> list[tuple[int, int, str]]:
@@ -167,7 +286,7 @@ def find_secrets(text: str | None, ranks: dict[str, int]) -> tuple[list[tuple[in
     taken = sorted(spans)
     easy = 0
     for start, end in context_values(text, lower):
-        hard = guess_cost(text[start:end], ranks) >= LEAST_COST
+        hard = guess_cost(text[start:end], ranks, LEAST_COST) >= LEAST_COST
         easy += not hard
         if hard and not any(s < end and start < e for s, e, _ in taken):
             spans.append((start, end, "guess"))
@@ -193,7 +312,7 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts: Counter[str] = Counter()
 
     def handed_on() -> pd.DataFrame:
-        words = {w: n for w, n in counts.items() if 3 <= len(w) <= LONGEST_SEGMENT and w.isalpha()}
+        words = {w: n for w, n in counts.items() if 3 <= len(w) <= LONGEST and w.isalpha()}
         counts.clear()
         n = pd.Series(list(words.values()), dtype="int64")
         return pd.DataFrame({"word": pd.Series(list(words), dtype=object), "n": n})
@@ -209,8 +328,16 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def common_words(docs: DataFrame, words: int = RANKED_WORDS) -> dict[str, int]:
     """The most frequent words of all documents and their ranks, from 1; ties by word."""
     counts = docs.select("text").mapInPandas(_count_words, WORD_COUNTS)
-    totals = counts.groupBy("word").agg(F.sum("n").alias("n"))
-    top = totals.orderBy(F.desc("n"), "word").limit(words).collect()
+    totals = materialize(counts.groupBy("word").agg(F.sum("n").alias("n")), "secrets-words")
+    # Only words as frequent as the last one wanted may be are put in order.
+    size = F.floor(F.log2("n") * STEPS).cast("int")
+    seen, least = 0, 0
+    for least, words_of_size in sorted(totals.groupBy(size.alias("size")).count().collect(), reverse=True):
+        seen += words_of_size
+        if seen >= words:
+            break
+    few = totals.filter(size >= F.lit(least)).repartition(ORDERED_PARTS)
+    top = few.orderBy(F.desc("n"), "word").limit(words).collect()
     return {r.word: i for i, r in enumerate(top, 1)}
 
 

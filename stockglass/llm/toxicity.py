@@ -7,10 +7,13 @@ that matter together are learned even where each is harmless alone:
 
     w0 + sum_i w_i + sum_{i<j} <v_i, v_j>  =  w0 + sum w + (|sum v|^2 - sum |v|^2) / 2
 
-Terms are counted by class on Spark over the training rows, the most telling ones
-kept, and the machine is fitted on the driver to a bounded number of labelled rows.
+Terms are counted by class on Spark over the training rows. Kept are the terms that
+tell most on their own, and beside them the most frequent ones whatever they tell:
+a word may matter only together with another. The machine is fitted on the driver to a
+bounded number of labelled rows, some at a time.
 
-Cases: a null or blank text has no terms and the score of ``w0``. Without
+Cases: a null or blank text has no terms and the score of ``w0``; very long texts are
+read whole, word by word. Without
 training rows of both classes every score is the smoothed share of ones. Repeated
 rows are scored one by one. An empty table gives no rows. Other columns are
 ignored.
@@ -33,8 +36,10 @@ from stockglass.llm.labelled import training_documents, training_labels
 
 FOLDS, FOLD = 5, 0
 TRAIN_ROWS = 20_000  # labelled rows the model is fitted to, at most
-TERMS = 4096  # terms kept, at most
-LEAST_GAIN = 8.0  # log-likelihood ratio (G squared) a kept term reaches
+TERMS = 4096  # terms kept for what they tell on their own, at most
+LEAST_GAIN = 8.0  # log-likelihood ratio (G squared) such a term reaches
+FREQUENT = 512  # most frequent terms, kept for what they may tell together
+AT_A_TIME = 1000  # rows whose slopes are computed together
 FACTORS = 4
 EPOCHS = 60
 L2 = 1e-5  # penalty on all weights
@@ -113,19 +118,22 @@ def fit(terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray) -> Factor
     if not 0 < labels.sum() < n or not size:
         m.factors[:] = 0
         return m
-    at, row = np.concatenate(rows), np.repeat(np.arange(n), [len(r) for r in rows])
+    parts = []
+    for i in range(0, n, AT_A_TIME):
+        some = rows[i : i + AT_A_TIME]
+        row = np.repeat(np.arange(len(some)), [len(r) for r in some])
+        parts.append((np.concatenate(some).astype(np.int64), row, labels[i : i + AT_A_TIME]))
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (np.zeros(1), m.linear, m.factors)]
     for epoch in range(1, EPOCHS + 1):
-        margin, v, sums = _margin(m, at, row, n)
-        error = 1 / (1 + np.exp(-margin)) - labels
-        each = error[row]
-        pull = each[:, None] * (sums[row] - v)
-        slopes = [
-            np.array([error.mean()]),
-            np.bincount(at, each, size) / n + L2 * m.linear,
-            np.stack([np.bincount(at, pull[:, k], size) for k in range(FACTORS)], axis=1) / n
-            + L2 * m.factors,
-        ]
+        slopes = [np.zeros(1), L2 * m.linear, L2 * m.factors]
+        for at, row, wanted in parts:
+            margin, v, sums = _margin(m, at, row, len(wanted))
+            error = (1 / (1 + np.exp(-margin)) - wanted) / n
+            each = error[row]
+            pull = each[:, None] * (sums[row] - v)
+            slopes[0] += error.sum()
+            slopes[1] += np.bincount(at, each, size)
+            slopes[2] += np.stack([np.bincount(at, pull[:, k], size) for k in range(FACTORS)], axis=1)
         steps = []
         for slope, (first, second) in zip(slopes, moments):
             first += 0.1 * (slope - first)
@@ -156,15 +164,17 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Factori
         + part(ones - with_one, ones * (1 - share))
         + part(zeros - n + with_one, zeros * (1 - share))
     )
-    kept = (
+    counted = (
         found.select("label", F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(gain.alias("gain"), n.alias("n"))
-        .filter((F.col("n") > 1) & (F.col("gain") >= LEAST_GAIN))
-        .orderBy(F.desc("gain"), "term")
-        .limit(TERMS)
+        .filter(F.col("n") > 1)
     )
-    terms = np.array(sorted(r.term for r in kept.select("term").collect()), dtype=np.int64)
+    counted = materialize(counted, "toxicity-counts")
+    telling = counted.filter(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "term").limit(TERMS)
+    frequent = counted.orderBy(F.desc("n"), "term").limit(FREQUENT)
+    kept = telling.select("term").collect() + frequent.select("term").collect()
+    terms = np.array(sorted({r.term for r in kept}), dtype=np.int64)
     literal = F.array(*[F.lit(int(t)) for t in terms]).cast("array<bigint>")
     sample = found.select("label", F.array_intersect("terms", literal).alias("terms")).collect()
     sample.sort(key=lambda r: (r.terms, r.label))

@@ -1,6 +1,9 @@
 import hashlib
 import math
+import random
 import re
+import time
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -50,6 +53,40 @@ def test_cheapest_segmentation(value):
     assert math.isclose(secrets.guess_cost(value, RANKS), exhaustive(value))
 
 
+@given(st.text("a1*", max_size=11) | st.text("qwe4", max_size=11) | st.text("Dragon1", max_size=9))
+@settings(deadline=None, max_examples=60)
+def test_cheapest_segmentation_of_any_value(value):
+    assert math.isclose(secrets.guess_cost(value, RANKS), exhaustive(value))
+    enough = secrets.guess_cost(value, RANKS, 4.0)
+    assert enough == secrets.guess_cost(value, RANKS) or min(enough, exhaustive(value)) >= 4.0
+
+
+def all_ends(value):
+    """Every segmentation, segments of any length."""
+    costs = [0.0]
+    for end in range(1, len(value) + 1):
+        costs.append(min(costs[i] + secrets.segment_cost(value[i:end], RANKS) for i in range(end)))
+    return costs[-1]
+
+
+@pytest.mark.parametrize("value", ["*" * 130, "=" * 60 + "dragon" + "-" * 50, "qwertyuiop" * 6 + "x", "abcd" * 30 + "q", "asdf" * 12 + "gh" * 20, "ab" * 55 + "bcdefghijklmnopqrstuvwxyz" * 2])
+def test_long_repeats_and_walks(value):
+    assert math.isclose(secrets.guess_cost(value, RANKS), all_ends(value))
+
+
+def test_long_values_that_are_easy_or_hard():
+    easy = ["*" * 24, "*" * 40, "*" * 80, "=" * 120, "-" * 90, "qwertyuiop" * 12, "x" * 1_000_000, "abcabc" * 100_000]
+    for value in easy:
+        spans, n = secrets.find_secrets(f"password is {value}", RANKS)
+        assert not [s for s in spans if s[2] == "guess"] and n == 1, value[:20]
+    rng = random.Random(1)
+    blob = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1_000_000))
+    begin = time.process_time()
+    for value in (blob, "~" * 500_000 + blob, "qw" * 250_000 + blob, blob[:5] + "z" * 900_000 + blob):
+        assert secrets.find_secrets(f"password is {value}", RANKS)[0]
+    assert time.process_time() - begin < 8
+
+
 def test_what_is_easy_and_what_is_hard():
     easy = ["password", "Dragon1984", "qwertyuiop", "aaaaaaaaaaaaaaaa", "abcabcabcabc", "24-12-1999", "m0nkey2001", "987654321"]
     hard = ["xK9$vq2Lm!7p", "gT7fRw0ZpQ3s", "t4V9-bN2x_Q8z"]
@@ -77,6 +114,27 @@ def test_query_keeps_all_base_spans(spark):
         assert [x for x in r.spans.split(",") if x and not x.startswith("guess")] == [x for x in base.split(",") if x]
 
 
+def test_query_s_guesses_by_brute_force(spark):
+    """The ranks from a plain count, each value by every segmentation."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").collect()
+    counts = Counter(w for d in docs for w in (d.text or "").lower().split() if 3 <= len(w) <= 24 and w.isalpha())
+    ranks = {w: i for i, (w, _) in enumerate(sorted(counts.items(), key=lambda c: (-c[1], c[0]))[: secrets.RANKED_WORDS], 1)}
+
+    def cost(value):
+        costs = [0.0]
+        for end in range(1, len(value) + 1):
+            costs.append(min(costs[i] + secrets.segment_cost(value[i:end], ranks) for i in range(end)))
+        return costs[-1]
+
+    for r, d in zip(queries.op6_secrets(spark, DATA).orderBy("doc_id").collect(), sorted(docs, key=lambda d: d.doc_id)):
+        base = [(s, e) for s, e, _ in plain_base(d.text)]
+        values = secrets.context_values(d.text, d.text.lower())
+        hard = [(s, e) for s, e in values if cost(d.text[s:e]) >= secrets.LEAST_COST]
+        free = [f"guess:{s}:{e}" for s, e in hard if not any(a < e and s < b for a, b in base)]
+        assert sorted(x for x in r.spans.split(",") if x.startswith("guess")) == sorted(free)
+        assert r.n_easy == len(values) - len(hard)
+
+
 def test_words_are_counted_over_all_documents(documents, monkeypatch):
     docs = documents([(i, "often often rare%d x y2" % i) for i in range(20)] + [(99, None)])
     assert secrets.common_words(docs, 3) == {"often": 1}

@@ -42,6 +42,32 @@ def test_a_pair_counts_where_its_words_do_not():
     assert ((m.scores(rows) >= 0.5) == both).mean() > 0.95
 
 
+def test_words_that_count_only_together_are_kept(spark, documents):
+    """Neither word tells anything on its own: toxic are texts with both or none."""
+    rng = np.random.default_rng(7)
+    words = [f"{a}{b}" for a in "bdfgklmnprs" for b in ("oda", "ile", "uma", "erte")]
+    rows, labels = [], []
+    for i in range(4000):
+        insult, group = rng.random(2) < 0.5
+        text = " ".join([*rng.choice(words, 12), *["insult"] * int(insult), *["group"] * int(group)])
+        rows.append((i, text))
+        labels.append((i, int(insult == group)))
+    got = toxicity.toxicity(documents(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    wanted = dict(labels)
+    held = [r.predicted == wanted[r.doc_id] for r in got.filter("held_out").collect()]
+    assert len(held) > 700 and sum(held) >= 0.95 * len(held)
+
+
+def test_slopes_are_added_up_over_parts(monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [np.flatnonzero(rng.random(8) < 0.4) for _ in range(90)]
+    labels = (rng.random(90) < 0.4).astype(float)
+    whole = toxicity.fit(np.arange(8), rows, labels)
+    monkeypatch.setattr(toxicity, "AT_A_TIME", 7)
+    parts = toxicity.fit(np.arange(8), rows, labels)
+    assert np.allclose(whole.linear, parts.linear) and np.allclose(whole.factors, parts.factors)
+
+
 def test_nulls_blanks_long_texts_repeated_rows_and_clashing_columns(spark, documents):
     docs = [(i, f"nice day {i} idiot" if i % 3 == 0 else f"nice day {i}") for i in range(90)]
     labels = spark.createDataFrame(
