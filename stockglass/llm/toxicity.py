@@ -121,8 +121,8 @@ def fit(terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray) -> Factor
     parts = []
     for i in range(0, n, AT_A_TIME):
         some = rows[i : i + AT_A_TIME]
-        row = np.repeat(np.arange(len(some)), [len(r) for r in some])
-        parts.append((np.concatenate(some).astype(np.int64), row, labels[i : i + AT_A_TIME]))
+        row = np.repeat(np.arange(len(some), dtype=np.int32), [len(r) for r in some])
+        parts.append((np.concatenate(some), row, labels[i : i + AT_A_TIME]))
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (np.zeros(1), m.linear, m.factors)]
     for epoch in range(1, EPOCHS + 1):
         slopes = [np.zeros(1), L2 * m.linear, L2 * m.factors]
@@ -176,10 +176,15 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Factori
     kept = telling.select("term").collect() + frequent.select("term").collect()
     terms = np.array(sorted({r.term for r in kept}), dtype=np.int64)
     literal = F.array(*[F.lit(int(t)) for t in terms]).cast("array<bigint>")
-    sample = found.select("label", F.array_intersect("terms", literal).alias("terms")).collect()
-    sample.sort(key=lambda r: (r.terms, r.label))
-    rows_ = [np.searchsorted(terms, np.array(r.terms, dtype=np.int64)) for r in sample]
-    return fit(terms, rows_, np.array([r.label for r in sample], dtype=float))
+    chosen = F.array_intersect("terms", literal).alias("terms")
+    sample = found.select("label", chosen, F.xxhash64("terms").alias("hash")).toArrow()
+    # Whole columns: Python objects for every term would take many times the memory.
+    ends = np.cumsum([0, *sample["terms"].combine_chunks().value_lengths().to_numpy()])
+    places = np.searchsorted(terms, sample["terms"].combine_chunks().flatten().to_numpy()).astype(np.int32)
+    label = sample["label"].to_numpy()
+    order = np.lexsort((label, sample["hash"].to_numpy()))
+    rows_ = [np.sort(places[ends[i] : ends[i + 1]]) for i in order]
+    return fit(terms, rows_, label[order].astype(float))
 
 
 def score(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
