@@ -1,8 +1,8 @@
 """Column expectations and the suites made of them.
 
-A suite is a plain constant. Running it gives one row per expectation. All
-expectations that look at one row at a time share a single aggregation over
-the table; each uniqueness expectation adds one aggregation by value.
+A suite is a plain constant. Running it gives one row per expectation. The table is
+scanned once: expectations that look at one row at a time are counted in the same
+aggregation that counts the rows of each value for the uniqueness expectations.
 
 Nulls are left out of judgement (``missing_count``), except by ``not_null``,
 which judges them. Bounds are inclusive. Every remaining value has to pass.
@@ -113,32 +113,42 @@ def _record(position: int, e: Expectation, elements: Column, missing: Column, ba
     )
 
 
-def _row_level(df: DataFrame, numbered: list[tuple[int, Expectation]]) -> DataFrame:
-    counts = [F.count(F.lit(1)).alias("elements")]
-    records = []
-    for i, e in numbered:
-        counts.append(F.count_if(_unexpected(e)).alias(f"bad_{i}"))
-        if e.kind == NOT_NULL:
-            missing = F.lit(0).cast("bigint")
-        else:
-            counts.append(F.count_if(F.col(e.column).isNull()).alias(f"missing_{i}"))
-            missing = F.col(f"missing_{i}")
-        records.append(_record(i, e, F.col("elements"), missing, F.col(f"bad_{i}")))
-    return df.agg(*counts).select(F.inline(F.array(*records)))
-
-
-def _by_value(df: DataFrame, i: int, e: Expectation) -> DataFrame:
-    """Every row of a value that occurs more than once is unexpected."""
-    value, n = F.col(e.column), F.col("rows_of_value")
-    per_value = df.groupBy(e.column).agg(F.count(F.lit(1)).alias("rows_of_value"))
-    totals = per_value.agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("elements"),
-        F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("missing"),
-        F.coalesce(F.sum(F.when(value.isNotNull() & (n > 1), n)), F.lit(0)).alias("bad"),
-    )
-    return totals.select(
-        F.inline(F.array(_record(i, e, F.col("elements"), F.col("missing"), F.col("bad"))))
-    )
+def _counted(df: DataFrame, numbered: list[tuple[int, Expectation]]) -> DataFrame:
+    """One row: elements, missing and unexpected values of every expectation.
+
+    Without uniqueness that is one aggregation. Else rows are first grouped by value,
+    once for each unique column (as grouping sets of one scan), combined before the
+    shuffle, and the groups of the first column bring the counts of all rows along.
+    """
+    by_value = [(i, e) for i, e in numbered if e.kind == UNIQUE]
+    by_row = [(i, e) for i, e in numbered if e.kind != UNIQUE]
+    flags = {f"bad_{i}": _unexpected(e) for i, e in by_row}
+    flags |= {f"missing_{i}": F.col(e.column).isNull() for i, e in by_row if e.kind != NOT_NULL}
+    values = {f"value_{i}": F.col(e.column) for i, e in by_value}
+    rows = df.select(*[c.alias(n) for n, c in (flags | values).items()])
+    counts = [F.count(F.lit(1)).alias("elements"), *[F.count_if(F.col(n)).alias(n) for n in flags]]
+    if not by_value:
+        return rows.agg(*counts)
+    sets = [[F.col(n)] for n in values]
+    groups = rows.groupingSets(sets, *values).agg(F.grouping_id().alias("set"), *counts)
+    # A set's bits say which columns it leaves out; the first column has the highest bit.
+    all_out = (1 << len(values)) - 1
+    of_set = {n: F.col("set") == all_out - (1 << (len(values) - 1 - j)) for j, n in enumerate(values)}
+    first = next(iter(of_set.values()))
+
+    def total(count: str, condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(count))), F.lit(0)).alias(name)
+
+    totals = [total(n, first, n) for n in ("elements", *flags)]
+    for i, _ in by_value:
+        mine, value = of_set[f"value_{i}"], F.col(f"value_{i}")
+        # Every row of a value that occurs more than once is unexpected.
+        repeated = mine & value.isNotNull() & (F.col("elements") > 1)
+        totals += [
+            total("elements", mine & value.isNull(), f"missing_{i}"),
+            total("elements", repeated, f"bad_{i}"),
+        ]
+    return groups.agg(*totals)
 
 
 def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
@@ -146,10 +156,12 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
     if not suite.expectations:
         raise ValueError(f"suite {suite.name} has no expectations")
     numbered = list(enumerate(suite.expectations))
-    row_level = [(i, e) for i, e in numbered if e.kind != UNIQUE]
-    parts = [_row_level(df, row_level)] if row_level else []
-    parts += [_by_value(df, i, e) for i, e in numbered if e.kind == UNIQUE]
-    results = reduce(DataFrame.unionByName, parts)
+    none = F.lit(0).cast("bigint")
+    records = [
+        _record(i, e, F.col("elements"), none if e.kind == NOT_NULL else F.col(f"missing_{i}"), F.col(f"bad_{i}"))
+        for i, e in numbered
+    ]
+    results = _counted(df, numbered).select(F.inline(F.array(*records)))
     bad, judged = F.col("unexpected_count"), F.col("element_count") - F.col("missing_count")
     return results.select(
         F.lit(suite.name).alias("suite"),

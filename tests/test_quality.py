@@ -102,3 +102,17 @@ def test_counts_match_a_plain_count(spark, values):
         sum(not -1 <= v <= 2 for v in given_values),
         sum(given_values.count(v) > 1 for v in given_values),
     ]
+
+
+def test_a_suite_scans_its_table_once(spark, tmp_path):
+    """Two unique columns and row-level expectations: counts by hand, one scan, one exchange of values."""
+    values = [(1, "a", 5), (1, "b", None), (2, "b", 7), (None, "c", 8), (3, None, 9), (3, None, -1), (3, "d", 5)]
+    spark.createDataFrame(values, "k int, t string, q int").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    suite = dq.Suite("s", (dq.between("q", 0, 8), dq.unique("k"), dq.not_null("t"), dq.unique("t"), dq.in_set("k", [1, 2])))
+    result = dq.run_suite(rows, suite)
+    got = [(r.position, r.element_count, r.missing_count, r.unexpected_count) for r in result.orderBy("position").collect()]
+    assert got == [(0, 7, 1, 2), (1, 7, 1, 5), (2, 7, 0, 2), (3, 7, 2, 2), (4, 7, 1, 3)]
+    plan = initial_plan(result)
+    assert plan.count("FileScan") == 1 and plan.count("Union") == 0
+    assert plan.count("FileScan") == initial_plan(dq.run_suite(rows, dq.Suite("u", (dq.unique("k"),)))).count("FileScan")
