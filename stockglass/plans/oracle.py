@@ -391,6 +391,17 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum(low_stock_instances) AS BIGINT) AS low_stock_instances,
                max(stock_level_EOW) AS highest_stock_level
         FROM summary GROUP BY store_key""",
+    "catalog_widened_days": f"""WITH{_weekly()}
+        SELECT weekly_summary, count(*) AS weeks,
+               CAST(sum(low_stock_instances) AS BIGINT) AS low_stock_instances,
+               sum(total_sales_qty) AS total_sales_qty,
+               CASE WHEN weekly_summary = DATE '2002-01-01' THEN 0 ELSE count(order_level_EOW) END
+                 AS order_levels,
+               CASE WHEN weekly_summary = DATE '2002-01-03' THEN 0 ELSE count(avg_sales_price) END
+                 AS prices
+        FROM summary CROSS JOIN (
+          VALUES (DATE '2002-01-01'), (DATE '2002-01-02'), (DATE '2002-01-03')) AS days(weekly_summary)
+        GROUP BY weekly_summary""",
     "publish_dimensions": r"""WITH dims AS (
           SELECT 'product' AS table_name, CAST(p_partkey AS VARCHAR) AS value_1,
                  p_name AS value_2, p_brand AS value_3
@@ -404,6 +415,6 @@ ORACLE_SQL: dict[str, str] = {
           FROM region
           UNION ALL SELECT DISTINCT 'calendar', strftime(l_shipdate, '%Y-%m-%d'), NULL, NULL FROM lineitem
         )
-        SELECT table_name, copies.copy AS "copy", value_1, value_2, value_3 FROM dims
+        SELECT table_name, copies.copy AS "copy", value_1, value_2, value_3, true AS same_bytes FROM dims
         CROSS JOIN (VALUES ('archive'), ('current')) AS copies(copy)""",
 }

@@ -248,9 +248,10 @@ def climate_export_csv(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.option("header", True).option("escape", '"').csv(target)
 
 
-def _write_csv(df: DataFrame, path: str) -> None:
+def _write_csv(df: DataFrame, path: str, line_end: str = "\n") -> None:
     (
         df.write.option("header", True)
+        .option("lineSep", line_end)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("escape", '"')
@@ -442,26 +443,59 @@ def catalog_registered_summary(spark: SparkSession, sf: str) -> DataFrame:
     return _unregistered(rows, name)
 
 
+def catalog_widened_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Three days whose columns grew: narrow counts and no order level first, then the whole
+    summary, then without a price. Registered after each day, read as one table."""
+    archive = scratch_dir(spark, "archive")
+    name = "days_" + archive.rsplit("-", 1)[1]
+    publish.publish_archive(weekly_inventory_summary(spark, sf), archive, "2002-01-02")
+    whole = spark.read.parquet(publish.archive_path(archive, "2002-01-02"))
+    narrow = whole.drop("order_level_EOW").withColumns(
+        {
+            "low_stock_instances": F.col("low_stock_instances").cast("int"),
+            "total_sales_qty": F.col("total_sales_qty").cast("float"),
+        }
+    )
+    publish.publish_archive(narrow, archive, RUN_DATE)
+    publish.register_table(spark, name, archive)
+    publish.publish_archive(whole.drop("avg_sales_price"), archive, "2002-01-03")
+    rows = publish.register_table(spark, name, archive)
+    found = rows.groupBy("weekly_summary").agg(
+        F.count(F.lit(1)).alias("weeks"),
+        F.sum("low_stock_instances").alias("low_stock_instances"),
+        F.sum("total_sales_qty").alias("total_sales_qty"),
+        F.count("order_level_EOW").alias("order_levels"),
+        F.count("avg_sales_price").alias("prices"),
+    )
+    return _unregistered(found, name)
+
+
 def publish_dimensions(spark: SparkSession, sf: str) -> DataFrame:
-    """Dimensions copied from landing; rows of both copies, all tables in one shape. One
-    table has quotes, line breaks, backslashes, empty and absent values."""
-    base = scratch_dir(spark, "landing")
+    """Dimensions copied from landing; rows of both copies, all tables in one shape, and
+    whether every file of the copy has the bytes of its source. One table has quotes, line
+    breaks, backslashes, empty and absent values, one has other line ends."""
+    base, archive, result = (scratch_dir(spark, n) for n in ("landing", "archive", "result"))
     for name in publish.DIMENSION_TABLES:
-        _write_csv(st.awkward(st.dimension(spark, sf, name), name), landing_path(base, name, RUN_DATE))
-    written = publish.publish_dimensions(
-        spark, base, RUN_DATE, scratch_dir(spark, "archive"), scratch_dir(spark, "result")
-    )
+        rows = st.awkward(st.dimension(spark, sf, name), name)
+        _write_csv(rows, landing_path(base, name, RUN_DATE), "\r\n" if name == "calendar" else "\n")
+    report = publish.publish_dimensions(spark, base, RUN_DATE, archive, result)
 
     def copy(name: str, kind: str, path: str) -> DataFrame:
         rows = read_copy(spark, path)
         values = [F.col(c) for c in rows.columns] + [F.lit(None).cast("string")] * (3 - len(rows.columns))
         named = [v.alias(f"value_{i}") for i, v in enumerate(values, 1)]
-        return rows.select(F.lit(name).alias("table_name"), F.lit(kind).alias("copy"), *named)
+        files = report.where(F.startswith("target", F.lit(f"{publish.qualified(spark, path)}/")))
+        same = files.agg(F.bool_and(F.col("source_sha256") == F.col("copy_sha256"))).first()[0]
+        return rows.select(
+            F.lit(name).alias("table_name"), F.lit(kind).alias("copy"), *named, F.lit(same).alias("same_bytes")
+        )
 
     parts = [
         copy(name, kind, path)
-        for name, targets in written.items()
-        for kind, path in zip(("archive", "current"), targets)
+        for name in publish.DIMENSION_TABLES
+        for kind, path in zip(
+            ("archive", "current"), publish.dimension_targets(archive, result, name, RUN_DATE)
+        )
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -504,5 +538,6 @@ QUERIES: dict[str, Query] = {
     "publish_archive": publish_archive,
     "publish_current": publish_current,
     "catalog_registered_summary": catalog_registered_summary,
+    "catalog_widened_days": catalog_widened_days,
     "publish_dimensions": publish_dimensions,
 }

@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from stockglass.schemas import DIMENSION_TABLES
-from stockglass.sources.landing import landing_path, read_landing
+from stockglass.sinks.copies import copy_files, qualified
+from stockglass.sources.footers import discover
+from stockglass.sources.landing import landing_path
 
 SUMMARY = "weekly_summary"
 
@@ -49,6 +51,11 @@ def publish_current(
     return path
 
 
+def dimension_targets(archive: str, result: str, table: str, date: str) -> tuple[str, str]:
+    """Where the copies of a day's dimension extract go: archive and current."""
+    return landing_path(archive, table, date), f"{result.rstrip('/')}/{table}.csv"
+
+
 def publish_dimensions(
     spark: SparkSession,
     landing: str,
@@ -56,61 +63,50 @@ def publish_dimensions(
     archive: str,
     result: str,
     tables: Sequence[str] = DIMENSION_TABLES,
-) -> dict[str, tuple[str, str]]:
-    """Copies the day's dimension extracts, all columns as text, to
-    ``{archive}/{table}_{date}.csv`` and ``{result}/{table}.csv``.
-
-    Quotes, line breaks and backslashes inside values survive. A file with line
-    breaks inside values can't be split, which suits dimensions.
-    """
-    written = {}
-    for table in tables:
-        rows = read_landing(spark, landing, table, date, multi_line=True)
-        targets = (
-            landing_path(archive, table, date),
-            f"{result.rstrip('/')}/{table}.csv",
-        )
-        for target in targets:
-            (
-                rows.write.mode("overwrite")
-                .option("header", True)
-                .option("escape", '"')
-                .option("ignoreLeadingWhiteSpace", False)
-                .option("ignoreTrailingWhiteSpace", False)
-                .csv(target)
-            )
-        written[table] = targets
-    return written
+) -> DataFrame:
+    """Copies the day's dimension extracts, byte for byte, to
+    ``{archive}/{table}_{date}.csv`` and ``{result}/{table}.csv``: a file as a file, a
+    folder as a folder. One row per file, with the SHA-256 of source and copy."""
+    targets = {
+        target: landing_path(landing, table, date)
+        for table in tables
+        for target in dimension_targets(archive, result, table, date)
+    }
+    return copy_files(spark, targets)
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Registers Parquet files as a table, columns and partitions found in the files.
 
-    A table of that name over another path, or with other columns than the files
-    have now, is registered anew; its files stay where they are.
+    The columns are those of all files together: one that only some days have is null on
+    the others, and of types that differ the table has the widest. A table of that name
+    over another path, or with other columns than the files have now, is registered
+    anew; its files stay where they are.
     """
     if spark.catalog.tableExists(name):
         spark.catalog.refreshTable(name)
-        if not _same_table(spark, name, path):
-            spark.sql(f"DROP TABLE {name}")
+    schema, partitions = discover(spark, path)
+    if spark.catalog.tableExists(name) and not _same_table(spark, name, path, schema):
+        spark.sql(f"DROP TABLE {name}")
     if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path=path, source="parquet")
-    if _is_partitioned(spark, name):
+        columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+        by = f" PARTITIONED BY ({', '.join(map(_quoted, partitions))})" if partitions else ""
+        location = qualified(spark, path).replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{by} LOCATION '{location}'")
+    if partitions:
         spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 
-def _same_table(spark: SparkSession, name: str, path: str) -> bool:
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _same_table(spark: SparkSession, name: str, path: str, schema: T.StructType) -> bool:
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
     # Spark names both folders in full.
-    wanted = spark._jvm.org.apache.hadoop.fs.Path(path)
-    wanted = wanted.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(wanted)
-    if not details or details[0].data_type.rstrip("/") != wanted.toString().rstrip("/"):
+    if not details or details[0].data_type.rstrip("/") != qualified(spark, path):
         return False
-    return {(f.name, f.dataType) for f in spark.read.parquet(path).schema} == {
+    return {(f.name, f.dataType) for f in schema} == {
         (f.name, f.dataType) for f in spark.table(name).schema
     }
-
-
-def _is_partitioned(spark: SparkSession, name: str) -> bool:
-    return any(c.isPartition for c in spark.catalog.listColumns(name))

@@ -68,10 +68,11 @@ def misfits(rows: DataFrame, schema: StructType) -> DataFrame:
 _LISTING = "path string, length bigint, modificationTime timestamp"
 
 
-def list_landing(spark: SparkSession, pattern: str) -> DataFrame:
-    """Files matching a glob as rows; none if nothing matches. File contents are not read."""
+def list_landing(spark: SparkSession, pattern: str, *, below: bool = False) -> DataFrame:
+    """Files matching a glob as rows; none if nothing matches. File contents are not read.
+    ``below`` lists all files in the folders below too."""
     try:
-        files = spark.read.format("binaryFile").load(pattern)
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", below).load(pattern)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

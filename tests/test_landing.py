@@ -1,10 +1,12 @@
 """Landing gate, weekly job, publication, catalog."""
 
-import csv
 import datetime as dt
+import hashlib
 from decimal import Decimal
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from stockglass.operators.landing import completeness, landed_files, missing_files
@@ -12,6 +14,7 @@ from stockglass.plans.gate import day_before, run_gate
 from stockglass.plans.validation import validate_raw
 from stockglass.plans.weekly import run_weekly
 from stockglass.schemas import INVENTORY, REQUIRED_TABLES, SALES
+from stockglass.sinks import copies
 from stockglass.sinks.publish import archive_path, publish_archive, register_table
 from stockglass.sources.landing import list_landing, misfits, read_landing
 
@@ -158,17 +161,43 @@ def test_weekly_job_keeps_misfits(spark, tmp_path):
     assert row.store_key == "S1" and row.misfits == ["store_key"]
 
 
-def test_copies_keep_every_character(spark, tmp_path):
-    base = tmp_path / "in"
+def test_copies_have_the_bytes_of_their_source(spark, tmp_path):
+    """Encodings, line ends, no line end at all, an empty file, odd names, a file of many blocks."""
+    base, archive, result = tmp_path / "in", tmp_path / "the archive", tmp_path / "result"
     land(base)
-    rows = [["k", "v"], ["1", 'say "hi", ok'], ["2", "two\nlines"], ["3", "back\\slash\\"], ["4", " a "], ["5", ""]]
-    with open(base / f"store_{DAY}.csv", "w", newline="") as f:
-        csv.writer(f).writerows(rows)
-    assert run_gate(spark, str(base), str(tmp_path / "archive"), str(tmp_path / "result"), DAY) == []
-    for copy in (tmp_path / f"archive/store_{DAY}.csv", tmp_path / "result/store.csv"):
-        (part,) = copy.glob("part-*")
-        with open(part, newline="") as f:
-            assert list(csv.reader(f)) == rows
+    odd = {
+        "store": "k,v\r\n1,\"say \"\"hi\"\"\"\r\n2,Zürich".encode("latin-1"),
+        "calendar": "﻿k;v\n\n".encode("utf-16"),
+        "product": bytes(range(256)) * 5000,
+    }
+    for name, content in odd.items():
+        (base / f"{name}_{DAY}.csv").write_bytes(content)
+    assert run_gate(spark, str(base), str(archive), str(result), DAY) == []
+    for name, content in odd.items():
+        assert (archive / f"{name}_{DAY}.csv").read_bytes() == content
+        assert (result / f"{name}.csv").read_bytes() == content
+    assert not list(result.glob(".*")) + list(archive.glob(".*"))
+
+
+def test_copies_of_folders_replace_what_was_there(spark, tmp_path):
+    plain, target = tmp_path / "plain one", tmp_path / "out" / "copy"
+    plain.mkdir()
+    target.mkdir(parents=True)
+    (target / "stale.csv").write_text("old")
+    for f in ("x,1 %20.csv", "y.csv", "_SUCCESS"):
+        (plain / f).write_bytes(f.encode() + b"\xff\x00")
+    report = {Path(r.target).name: r for r in copies.copy_files(spark, {str(target): str(plain)}).collect()}
+    assert {p.name for p in target.iterdir()} == set(report) == {"x,1 %20.csv", "y.csv"}
+    for name, r in report.items():
+        content = (plain / name).read_bytes()
+        assert (target / name).read_bytes() == content and r.bytes == len(content)
+        assert r.source_sha256 == r.copy_sha256 == hashlib.sha256(content).hexdigest()
+        assert Path(r.target.removeprefix("file:")).parent == target
+    copies.copy_files(spark, {str(target): str(plain / "y.csv")})  # a file where a folder was
+    assert target.read_bytes() == (plain / "y.csv").read_bytes()
+    with pytest.raises(FileNotFoundError):
+        copies.copy_files(spark, {str(target): str(tmp_path / "nothing")})
+    assert target.is_file()
 
 
 def test_gate_sees_extracts_in_folders(spark, tmp_path):
@@ -192,3 +221,34 @@ def test_register_follows_path_and_columns(spark, tmp_path):
     assert table.columns == ["other"] and table.count() == 7
     assert spark.read.parquet(first).count() == 2
     spark.sql("DROP TABLE moving")
+
+
+def test_days_with_added_and_widened_columns_are_one_table(spark, tmp_path):
+    archive = str(tmp_path / "days' own")
+    days = {
+        "2020-01-01": "SELECT 1 AS id, CAST(1.5 AS FLOAT) AS v, CAST(1.25 AS DECIMAL(5,2)) AS p, DATE'2020-01-01' AS d",
+        "2020-01-02": "SELECT 5000000000 AS id, 2.5D AS v, CAST(1.125 AS DECIMAL(9,3)) AS p, DATE'2020-01-02' AS d, 'x' AS more",
+        "2020-01-03": "SELECT CAST(3 AS SMALLINT) AS id, 7 AS v, 'y' AS more, array(1) AS `odd ``name`",
+    }
+    for date, sql in days.items():
+        publish_archive(spark.sql(sql), archive, date)
+        table = register_table(spark, "widening", archive)
+    got = {r.id: r for r in table.collect()}
+    assert [f.simpleString() for f in table.schema][:3] == ["id:bigint", "v:double", "p:decimal(9,3)"]
+    assert set(got) == {1, 5000000000, 3} and [got[i].v for i in (1, 5000000000, 3)] == [1.5, 2.5, 7.0]
+    assert got[1].p == Decimal("1.250") and got[1].more is None and got[3].more == "y" and got[3].p is None
+    assert got[3]["odd `name"] == [1] and str(got[3].weekly_summary) == "2020-01-03"
+    publish_archive(spark.sql("SELECT 'text' AS id"), archive, "2020-01-04")
+    with pytest.raises(ValueError, match="column id: no type holds both bigint and string"):
+        register_table(spark, "widening", archive)
+    spark.sql("DROP TABLE widening")
+
+
+def test_files_of_other_writers_are_registered(spark, tmp_path):
+    folder = tmp_path / "t"
+    folder.mkdir()
+    pq.write_table(pa.table({"id": pa.array([1], pa.int32())}), folder / "a.parquet")
+    pq.write_table(pa.table({"id": pa.array([2], pa.int64()), "t": ["x"]}), folder / "b.parquet")
+    rows = register_table(spark, "others", str(folder)).collect()
+    assert sorted((r.id, r.t) for r in rows) == [(1, None), (2, "x")]
+    spark.sql("DROP TABLE others")
