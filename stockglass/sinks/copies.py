@@ -9,7 +9,6 @@ all of them are right.
 from __future__ import annotations
 
 import hashlib
-import posixpath
 import uuid
 from collections.abc import Iterator
 
@@ -17,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockglass.session import scratch_dir
-from stockglass.sources.files import opener
+from stockglass.sources.files import beside, opener, put_in_place, qualified
 from stockglass.sources.landing import list_landing
 
 REPORT = "source string, target string, bytes bigint, source_sha256 string, copy_sha256 string"
@@ -26,23 +25,6 @@ FILES_A_TASK = 8  # small files that share a task, at most
 TASKS = 2000  # at most
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path in full, with its file system, as Spark takes it."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.makeQualified(hadoop).toString().rstrip("/")
-
-
-def _replace(spark: SparkSession, staged: str, target: str) -> None:
-    """Puts ``staged`` in the place of ``target``, whatever that is. Metadata only."""
-    make = spark._jvm.org.apache.hadoop.fs.Path
-    system = make(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    system.delete(make(target), True)
-    system.mkdirs(make(posixpath.dirname(target)))
-    if not system.rename(make(staged), make(target)):
-        raise OSError(f"could not move {staged} to {target}")
-
-
 def _copier(chunk: int):
     # Defined here so that it travels with the task: workers need not have this package.
     opened = opener()
@@ -89,8 +71,7 @@ def copy_files(spark: SparkSession, targets: dict[str, str]) -> DataFrame:
     staged, parts = {}, []
     for target, source in targets.items():
         source, target = qualified(spark, source), qualified(spark, target)
-        folder, name = posixpath.split(target)
-        staged[target] = f"{folder}/.staged-{uuid.uuid4().hex}-{name}"
+        staged[target] = beside(target)
         files = list_landing(spark, source)
         if files.isEmpty():
             raise FileNotFoundError(source)
@@ -111,6 +92,6 @@ def copy_files(spark: SparkSession, targets: dict[str, str]) -> DataFrame:
         raise OSError(f"copies differ from {', '.join(r.source for r in wrong)}")
     places = F.col("target")
     for target, stage in staged.items():
-        _replace(spark, stage, target)
+        put_in_place(spark, stage, target)
         places = F.when(F.startswith(places, F.lit(stage)), F.concat(F.lit(target), F.substring(places, len(stage) + 1, 1 << 30))).otherwise(places)
     return copied.withColumn("target", places)

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from stockglass.schemas import DIMENSION_TABLES
-from stockglass.sinks.copies import copy_files, qualified
+from stockglass.sinks.copies import copy_files
+from stockglass.sources.files import qualified, write_snapshot
 from stockglass.sources.footers import discover
 from stockglass.sources.landing import landing_path
 
@@ -21,7 +22,7 @@ SUMMARY = "weekly_summary"
 
 def _write_parquet(df: DataFrame, path: str, files: int | None) -> None:
     out = df if files is None else df.repartition(files)
-    out.write.mode("overwrite").option("compression", "gzip").parquet(path)
+    write_snapshot(df.sparkSession, out.write.option("compression", "gzip"), path)
 
 
 def archive_path(archive: str, date: str) -> str:
@@ -34,6 +35,7 @@ def current_path(result: str) -> str:
 
 def publish_archive(df: DataFrame, archive: str, date: str, files: int | None = None) -> str:
     """Writes one day's snapshot over an earlier one of that day; other days stay.
+    It takes the earlier one's place when it is whole.
 
     ``files`` fixes the number of files; without it Spark sizes them.
     """
@@ -45,7 +47,8 @@ def publish_archive(df: DataFrame, archive: str, date: str, files: int | None =
 def publish_current(
     spark: SparkSession, archive: str, date: str, result: str, files: int | None = None
 ) -> str:
-    """Makes an archived day the current snapshot. Reads the archive, computes nothing anew."""
+    """Makes an archived day the current snapshot. Reads the archive, computes nothing anew.
+    Until it is written the snapshot before it stays."""
     path = current_path(result)
     _write_parquet(spark.read.parquet(archive_path(archive, date)), path, files)
     return path

@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stockglass.operators.climate import ITEM_KEYS, last_per_key
+from stockglass.sources.files import write_snapshot
 
 LOG_SCHEMA = T.StructType(
     [
@@ -47,14 +48,10 @@ def batch_path(path: str, batch_id: int) -> str:
 
 
 def upsert_items(items: DataFrame, path: str, batch_id: int) -> None:
-    """Puts whole items; the last one of a key wins, in the batch and over earlier batches."""
-    (
-        last_per_key(items)
-        .hint("rebalance", "year")
-        .write.mode("overwrite")
-        .partitionBy("year")
-        .parquet(batch_path(path, batch_id))
-    )
+    """Puts whole items; the last one of a key wins, in the batch and over earlier batches.
+    A batch appears, or takes the place of one written before, when it is whole."""
+    writer = last_per_key(items).hint("rebalance", "year").write.partitionBy("year")
+    write_snapshot(items.sparkSession, writer, batch_path(path, batch_id))
 
 
 def count_batch(spark: SparkSession, path: str, batch_id: int) -> int:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DataType, DecimalType, IntegralType, StructType
 
 from stockglass.functions.names import column
@@ -23,11 +23,13 @@ def read_landing(
     schema: StructType | None = None,
     *,
     multi_line: bool = False,
+    checked: Observation | None = None,
 ) -> DataFrame:
     """One day's extract: comma separated, with a header line. Columns go by name.
 
     With a schema its columns are picked and converted; a value that does not
-    fit its type becomes null, and :func:`misfits` finds the row. Without one all
+    fit its type becomes null, and :func:`misfits` finds the row. ``checked`` counts such
+    rows, as ``misfits``, while they are read. Without a schema all
     columns come as text. An extract of several files must have the same header in
     each, which Spark checks. ``multi_line`` lets values span lines.
     """
@@ -39,6 +41,8 @@ def read_landing(
     rows = reader.schema(header).option("enforceSchema", False).csv(path)
     if schema is None:
         return rows
+    if checked is not None:
+        rows = rows.observe(checked, F.count_if(F.size(misfit_names(schema)) > 0).alias("misfits"))
     return rows.select(*[typed(column(f.name), f.dataType).alias(f.name) for f in schema])
 
 
@@ -50,9 +54,8 @@ def typed(text: Column, kind: DataType) -> Column:
     return text.try_cast(kind)
 
 
-def misfits(rows: DataFrame, schema: StructType) -> DataFrame:
-    """The rows of a text extract with a value that its type can't hold, and ``misfits``,
-    the names of those columns. Digits beyond a decimal's scale count too."""
+def misfit_names(schema: StructType) -> Column:
+    """The names of the columns of a text extract whose value their type can't hold."""
 
     def misfit(name: str, kind: DataType) -> Column:
         text, value = F.trim(column(name)), typed(column(name), kind)
@@ -61,8 +64,13 @@ def misfits(rows: DataFrame, schema: StructType) -> DataFrame:
             lost = lost | ~text.try_cast("double").eqNullSafe(value.cast("double"))
         return F.when((text != "") & lost, F.lit(name))
 
-    names = F.array_compact(F.array(*[misfit(f.name, f.dataType) for f in schema]))
-    return rows.withColumn("misfits", names).where(F.size("misfits") > 0)
+    return F.array_compact(F.array(*[misfit(f.name, f.dataType) for f in schema]))
+
+
+def misfits(rows: DataFrame, schema: StructType) -> DataFrame:
+    """The rows of a text extract with a value that its type can't hold, and ``misfits``,
+    the names of those columns. Digits beyond a decimal's scale count too."""
+    return rows.withColumn("misfits", misfit_names(schema)).where(F.size("misfits") > 0)
 
 
 _LISTING = "path string, length bigint, modificationTime timestamp"

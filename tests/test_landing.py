@@ -8,14 +8,17 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from stockglass.operators.landing import completeness, landed_files, missing_files
+from stockglass.plans import weekly
 from stockglass.plans.gate import day_before, run_gate
 from stockglass.plans.validation import validate_raw
 from stockglass.plans.weekly import run_weekly
 from stockglass.schemas import INVENTORY, REQUIRED_TABLES, SALES
 from stockglass.sinks import copies
-from stockglass.sinks.publish import archive_path, publish_archive, register_table
+from stockglass.sinks.publish import archive_path, publish_archive, publish_current, register_table
+from stockglass.sources.items import read_items, upsert_items
 from stockglass.sources.landing import list_landing, misfits, read_landing
 
 DAY = "2023-05-05"
@@ -161,6 +164,61 @@ def test_weekly_job_keeps_misfits(spark, tmp_path):
     assert row.store_key == "S1" and row.misfits == ["store_key"]
 
 
+def test_an_extract_without_misfits_is_read_once(spark, tmp_path, monkeypatch):
+    base, read = str(tmp_path / "in"), []
+    land(base)
+    monkeypatch.setattr(weekly, "misfits", lambda rows, schema: read.append(schema) or misfits(rows, schema))
+    run_weekly(spark, base, DAY, str(tmp_path / "out"), str(tmp_path / "result"))
+    assert read == []
+    with open(f"{base}/inventory_{DAY}.csv", "a") as f:
+        f.write("2023-05-05,200,x,1,1,0\n2023-05-05,200,7,1.234,1,0\n")
+    run_weekly(spark, base, DAY, str(tmp_path / "out"), str(tmp_path / "result"))
+    assert read == [INVENTORY]
+    bad = spark.read.parquet(f"{tmp_path}/result/misfits/inventory_{DAY}.csv").collect()
+    assert sorted(r.misfits[0] for r in bad) == ["inventory_on_hand_qty", "prod_key"]
+
+
+def test_misfits_are_kept_beside_an_empty_table(spark, tmp_path):
+    base = tmp_path / "in"
+    land(base)
+    (base / f"inventory_{DAY}.csv").write_text(FILES["inventory"].splitlines()[0] + "\n")
+    with open(base / f"sales_{DAY}.csv", "a") as f:
+        f.write("3,2023-05-05,S1,7,2,1,1,0\n")
+    run_weekly(spark, str(base), DAY, str(tmp_path / "out"), str(tmp_path / "result"))
+    (row,) = spark.read.parquet(f"{tmp_path}/result/misfits/sales_{DAY}.csv").collect()
+    assert row.store_key == "S1"
+
+
+def test_a_write_that_fails_half_way_leaves_the_old_snapshot(spark, tmp_path):
+    archive, result = str(tmp_path / "archive"), str(tmp_path / "result")
+    publish_archive(spark.range(100), archive, DAY)
+    current = publish_current(spark, archive, DAY, result)
+    # Some tasks have written their files when another fails.
+    rows = spark.range(1000, numPartitions=4).select(F.when(F.col("id") < 990, F.col("id")).otherwise(F.raise_error("stop").cast("bigint")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        publish_archive(rows, archive, DAY)
+    assert spark.read.parquet(archive_path(archive, DAY)).count() == 100
+    publish_archive(spark.range(7), archive, DAY)
+    Path(f"{archive}/weekly_summary={DAY}").joinpath("part-x.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        publish_current(spark, archive, DAY, result)
+    assert spark.read.parquet(current).count() == 100
+    assert [p.name for p in Path(result).iterdir()] == ["weekly_summary"]
+    assert [p.name for p in Path(archive).iterdir()] == [f"weekly_summary={DAY}"]
+
+
+def test_an_upsert_that_fails_half_way_leaves_the_old_batch(spark, tmp_path):
+    path = str(tmp_path / "items")
+    items = spark.createDataFrame([("2020", f"2020-01-{d:02}", {"a": "1"}) for d in range(1, 9)], "year string, date string, attributes map<string,string>")
+    upsert_items(items, path, 0)
+    broken = items.withColumn("date", F.when(F.col("date") < "2020-01-08", F.col("date")).otherwise(F.raise_error("stop").cast("string")))
+    with pytest.raises(Exception, match="stop"):
+        upsert_items(broken.repartition(4), path, 0)
+    assert read_items(spark, path).count() == 8
+    upsert_items(items.limit(3), path, 0)
+    assert read_items(spark, path).count() == 3
+
+
 def test_copies_have_the_bytes_of_their_source(spark, tmp_path):
     """Encodings, line ends, no line end at all, an empty file, odd names, a file of many blocks."""
     base, archive, result = tmp_path / "in", tmp_path / "the archive", tmp_path / "result"
