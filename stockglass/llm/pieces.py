@@ -10,9 +10,8 @@ one boundary, the ids before it are committed and forgotten.
 
 Where no piece can cross, before a run of blanks, around line breaks and between two
 characters that are neighbours in no piece, paths meet at once. Texts are cut there.
-The ids of short stretches are remembered, and so is the path to their positions:
-it depends on what stands before only, so stretches that begin alike share it, and
-it is found when it is needed.
+Every id comes from the search; the ids of parts and stretches it has committed are
+remembered, and a part that comes again takes them from there.
 
 Blanks count as U+2581, one is put in front of a text, characters outside the
 vocabulary become the ids of their bytes. Decoding joins the pieces and takes the
@@ -39,10 +38,10 @@ from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-REMEMBERED = 200_000  # stretches, and pairs of pieces, a task remembers at a time
-BEGINNINGS = 100_000  # beginnings of stretches whose path it remembers
+REMEMBERED = 400_000  # stretches a task remembers at a time
+PARTS = 200_000  # parts of stretches, and pairs of pieces, it remembers
 YIELDED = 200  # texts whose ids a task hands on at a time
-STRETCH = 48  # characters of a stretch that is remembered, at most
+STRETCH = 48  # characters of a stretch or part that is remembered, at most
 _STRETCHES = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 
 
@@ -56,16 +55,18 @@ class Vocabulary:
     texts: list[bytes]
     longest: int = field(init=False)
     cuttable: bool = field(init=False)
-    prefixes: dict[str, bool] = field(init=False)  # beginnings of pieces; True for whole ones
-    suffixes: dict[str, bool] = field(init=False)  # endings of pieces
+    #: By character the next node of the pieces' tree, and the piece that ends there if any.
+    tree: dict[str, list] = field(init=False)
     neighbours: set[str] = field(init=False)  # two characters side by side in a piece
 
     def __post_init__(self):
         self.longest = max(map(len, self.ids), default=1)
-        self.prefixes = {p[:n]: False for p in self.ids for n in range(1, len(p))}
-        self.prefixes |= dict.fromkeys(self.ids, True)
-        self.suffixes = {p[-n:]: False for p in self.ids for n in range(1, len(p))}
-        self.suffixes |= dict.fromkeys(self.ids, True)
+        self.tree = {}
+        for piece in self.ids:
+            children = self.tree
+            for c in piece[:-1]:
+                children = children.setdefault(c, [{}, None])[0]
+            children.setdefault(piece[-1], [{}, None])[1] = piece
         self.neighbours = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         crossing = (p for p in self.ids if "\n" in p or BLANK in p.lstrip(BLANK))
         self.cuttable = next(crossing, None) is None
@@ -112,16 +113,12 @@ def merged(text: str, scores: dict[str, float]) -> list[str]:
     return parts
 
 
-#: The ids of the path to a position, and what may follow its last piece, as far as known.
-Path = tuple[tuple[int, ...], str, dict[str, bool]]
-
-
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.stretches: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # stretches remembered before the last REMEMBERED
-        self.paths: dict[str, Path] = {}
+        self.parts: dict[str, bytes] = {}
         self.followers: dict[str, dict[str, bool]] = {}
         self.pairs = 0
         self.histories: dict[str, tuple[list[float], list[str], list[str]] | None] = {}
@@ -165,13 +162,11 @@ class Encoder:
                 j += 1
 
     def _followers(self, before: str) -> dict[str, bool]:
-        known = self.followers.get(before)
-        if known is None:
-            if self.pairs >= REMEMBERED:
-                self.followers.clear()
-                self.pairs = 0
-            known = self.followers[before] = {}
-        return known
+        """A new, empty table of what may stand behind a piece."""
+        if self.pairs >= PARTS:
+            self.followers.clear()
+            self.pairs = 0
+        return self.followers.setdefault(before, {})
 
     def _converged(self, starts: list[int], base: int, end: int) -> int:
         """The boundary all paths from the window before ``end`` go back to."""
@@ -198,7 +193,7 @@ class Encoder:
 
     def search(self, text: str) -> array:
         """The ids of a text in which blanks are U+2581 already."""
-        prefixes, n, window = self.v.prefixes, len(text), self.v.longest
+        tree, n, window = self.v.tree, len(text), self.v.longest
         out = array("i")
         # The piece that ends at each position from ``base`` on, and where it starts.
         base, pieces, starts = 0, [""] + [None] * min(n, 3 * window), [0] * (1 + min(n, 3 * window))
@@ -208,21 +203,25 @@ class Encoder:
             if before is None:  # no piece ends here: a character outside the vocabulary
                 before = pieces[start - base] = text[start - 1]
                 starts[start - base] = start - 1
-            if before not in prefixes:
-                before = ""
-            known = self._followers(before)
-            for end in range(start + 1, min(n, start + window) + 1):
-                piece = text[start:end]
-                whole = prefixes.get(piece)
-                if whole is None:
+                if before not in tree:
+                    before = ""
+            known = self.followers.get(before)
+            if known is None:
+                known = self._followers(before)
+            children, at = tree, start - base
+            for c in text[start : start + window]:
+                node = children.get(c)
+                if node is None:
                     break
-                if whole and pieces[end - base] is None:
+                at += 1
+                children, piece = node
+                if piece is not None and pieces[at] is None:
                     apart = known.get(piece)
                     if apart is None:
                         apart = known[piece] = self._stay_apart(before, piece)
                         self.pairs += 1
                     if apart:
-                        pieces[end - base], starts[end - base] = piece, start
+                        pieces[at], starts[at] = piece, start
             if start == check:
                 boundary = self._converged(starts, base, start)
                 check = start + window
@@ -239,55 +238,31 @@ class Encoder:
         self._commit(pieces, starts, base, n, out)
         return out
 
-    def _path(self, text: str) -> Path:
-        """The path to the end of a beginning of a stretch. Longer pieces are tried first,
-        and only the paths to positions that one of them leaves are asked for."""
-        path = self.paths.get(text)
-        if path is not None:
-            return path
-        if not text:
-            return (), "", self._followers("")
-        suffixes, pieces = self.v.suffixes, []
-        for start in range(len(text) - 1, -1, -1):
-            piece = text[start:]
-            whole = suffixes.get(piece)
-            if whole is None:
-                break
-            if whole:
-                pieces.append(piece)
-        for piece in reversed(pieces):
-            ids, before, followers = self._path(text[: -len(piece)])
-            apart = followers.get(piece)
-            if apart is None:
-                apart = followers[piece] = self._stay_apart(before, piece)
-                self.pairs += 1
-            if apart:
-                path = (*ids, self.v.ids[piece]), piece, self._followers(piece)
-                break
-        else:  # a character outside the vocabulary
-            octets = text[-1].encode("utf-8", "surrogatepass")
-            path = (*self._path(text[:-1])[0], *[self.v.byte_ids[o] for o in octets]), "", self._followers("")
-        self.paths[text] = path
-        return path
+    def _part(self, text: str) -> bytes:
+        ids = self.parts.get(text)
+        if ids is None:
+            ids = self.search(text).tobytes()
+            if len(text) <= STRETCH:
+                if len(self.parts) >= PARTS:
+                    self.parts.clear()
+                self.parts[text] = ids
+        return ids
 
     def _stretch(self, text: str) -> bytes:
         """The ids of a stretch, as ``search`` gives them, four bytes each."""
-        if len(text) > STRETCH:
-            return self.search(text).tobytes()
         ids = self.older.get(text)
         if ids is None:
-            if len(self.paths) >= BEGINNINGS:
-                self.paths.clear()
-            neighbours, begin, found = self.v.neighbours, 0, array("i")
+            neighbours, begin, found = self.v.neighbours, 0, []
             for i in range(1, len(text)):
                 if text[i - 1 : i + 1] not in neighbours:
-                    found.extend(self._path(text[begin:i])[0])
+                    found.append(self._part(text[begin:i]))
                     begin = i
-            found.extend(self._path(text[begin:])[0])
-            ids = found.tobytes()
-        if len(self.stretches) >= REMEMBERED:
-            self.older, self.stretches = self.stretches, {}
-        self.stretches[text] = ids
+            found.append(self._part(text[begin:]))
+            ids = b"".join(found)
+        if len(text) <= STRETCH:
+            if len(self.stretches) >= REMEMBERED:
+                self.older, self.stretches = self.stretches, {}
+            self.stretches[text] = ids
         return ids
 
     def __call__(self, text: str | None) -> np.ndarray:

@@ -56,7 +56,7 @@ def test_the_window_stays_small(encoder, monkeypatch):
 
 def test_little_memory(monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED", 5)
-    monkeypatch.setattr(pieces, "BEGINNINGS", 7)
+    monkeypatch.setattr(pieces, "PARTS", 7)
     monkeypatch.setattr(pieces, "STRETCH", 6)
     text = " ".join(random.Random(4).choices(["there", "thing", "a", "internationally", "  ", "ééé"], k=500))
     assert list(pieces.Encoder(VOCABULARY)(text)) == MODEL.encode(text)
