@@ -38,7 +38,7 @@ def test_any_text(text):
 
 @given(st.text("ab ▁thein\nré", max_size=300))
 @settings(deadline=None, max_examples=200)
-def test_the_streaming_search_equals_the_remembered_one(text):
+def test_one_search_of_the_text_equals_those_of_its_parts(text):
     marked = pieces.BLANK + text.replace(" ", pieces.BLANK)
     e = pieces.Encoder(VOCABULARY)
     assert list(e.search(marked)) == list(e(text)) or not text
@@ -62,6 +62,19 @@ def test_little_memory(monkeypatch):
     assert list(pieces.Encoder(VOCABULARY)(text)) == MODEL.encode(text)
 
 
+def test_every_part_is_searched_once_and_long_ones_are_not_remembered(monkeypatch):
+    e, searched = pieces.Encoder(VOCABULARY), []
+    search = e.search
+    monkeypatch.setattr(e, "search", lambda text: searched.append(text) or search(text))
+    long = "thereinganoes" * 20
+    text = f"there thing there, {long} thing, {long}"
+    assert list(e(text)) == list(e(text)) == MODEL.encode(text)
+    short = [s for s in searched if len(s) <= pieces.STRETCH]
+    assert "▁there" in short and len(short) == len(set(short))
+    assert max(map(len, [*e.parts, *e.stretches])) <= pieces.STRETCH
+    assert "".join(dict.fromkeys(searched)).count(long) == 1 and len(searched) - len(short) == 4
+
+
 def test_a_vocabulary_without_cuts(encoder):
     whole = pieces.Encoder(VOCABULARY)
     whole.v = pieces.Vocabulary(VOCABULARY.scores, VOCABULARY.ids, VOCABULARY.byte_ids, VOCABULARY.texts)

@@ -64,6 +64,17 @@ def test_personal_data_is_replaced(stages):
     assert any("[PHONE]" in r.text for r in after)
 
 
+def test_personal_data_known_by_its_context_is_replaced(spark, documents):
+    rows = [(i, f"Some words here, contact: user{i}@mail.example.com please") for i in range(9)]
+    rows += [(20, "Write today, contact: K-77-1234x please"), (21, "words here 12345 and here")]
+    kept = {r.doc_id: r.text for r in STAGES["personal_data"](spark, documents(rows), DATA).collect()}
+    assert kept == {
+        **{i: "Some words here, contact: [EMAIL] please" for i in range(9)},
+        20: "Write today, contact: [CONTEXT] please",
+        21: "words here 12345 and here",
+    }
+
+
 def test_mixing_repeats_documents_as_the_sql_says(stages, tmp_path, spark):
     before, after = stages["mixing"]
     spark.createDataFrame(before, DOCUMENT).write.parquet(str(tmp_path / "documents"))

@@ -1,4 +1,7 @@
+import math
+import string
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -42,6 +45,59 @@ def test_scores_are_log_density_differences(monkeypatch):
     assert np.allclose(m.scores(rows[:5]), 1 / (1 + np.exp(-np.clip(odds, -40, 40))))
 
 
+def plain_statistics(text):
+    words = (text or "").split()
+    if not words:
+        return [0.0] * len(quality.STATISTICS)
+    n, seen = len(words), Counter(words)
+    lines = [line for line in text.split("\n") if line.strip()]
+    marks = [string.ascii_uppercase, string.digits, "!?", "|", "#$%&*+=<>@^_~{}[]\\/", ".", ",;:", "\n"]
+    rate = lambda count: math.log1p(100 * count / (n + 20))
+    return [
+        math.log1p(n),
+        math.log((sum(map(len, words)) + 100) / (n + 20)),
+        *(rate(sum(c in m for c in text)) for m in marks),
+        math.log((len(seen) + 20) / (n + 20)),
+        rate(sum(a == b for a, b in zip(words, words[1:]))),
+        rate(max(seen.values()) - 1),
+        rate(sum(len(w) <= 3 for w in words)),
+        rate(len(lines) - len(set(lines))),
+        math.log1p(max(map(len, lines))),
+    ]
+
+
+def test_query_equals_plain_densities(spark):
+    """The whole result, from plain statistics and inverted covariances."""
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
+    taught = [i for i in texts if labels.get(i) in (0, 1) and zlib.crc32(str(i).encode()) % 3 != 1]
+    assert len(taught) < quality.TRAIN_ROWS
+    x = np.array([plain_statistics(texts[i]) for i in taught])
+    y = np.array([labels[i] for i in taught])
+    centre, scale = x.mean(axis=0), x.std(axis=0)
+    scale[scale <= 1e-9] = 1
+    z, size = (x - centre) / scale, x.shape[1]
+    own = [np.cov(z[y == k], rowvar=False, bias=True) for k in (0, 1)]
+    both = sum((y == k).sum() * c for k, c in enumerate(own)) / len(y)
+    means, covariances = [z[y == k].mean(axis=0) for k in (0, 1)], []
+    for k, c in enumerate(own):
+        lean = 0.3 + 0.7 * size / (size + (y == k).sum())
+        c = (1 - lean) * c + lean * both
+        covariances.append(0.98 * c + 0.02 * np.diag(np.diag(c)) + 1e-3 * np.eye(size))
+    prior = np.log((y.sum() + 0.5) / ((y == 0).sum() + 0.5))
+
+    def score(text):
+        density = []
+        for mean, covariance in zip(means, covariances):
+            d = (np.array(plain_statistics(text)) - centre) / scale - mean
+            density.append(-0.5 * d @ np.linalg.solve(covariance, d) - 0.5 * np.linalg.slogdet(covariance)[1])
+        return 1 / (1 + np.exp(-np.clip(prior + density[1] - density[0], -40, 40)))
+
+    got = queries.op10_quality(spark, DATA).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    assert np.allclose([r.score for r in got], [score(texts[r.doc_id]) for r in got], rtol=1e-6, atol=1e-9)
+
+
 def test_a_constant_statistic_is_no_singularity():
     rows = np.zeros((20, len(quality.STATISTICS)))
     rows[10:, 0] = 1
