@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -55,6 +56,47 @@ def test_counts_in_pieces(monkeypatch, piece, text):
     assert (language.GramCounter()(text) == plain_counts(text)).all()
 
 
+def plain_vote(text, model):
+    """Family, then the votes of its pairs, one machine at a time; the score too."""
+    counts = plain_counts(text or "")
+    if not counts.sum():
+        return language.UNKNOWN, 0.0
+    x = counts / counts.sum() * model.scale.astype(float)
+    margin = lambda w: float(x @ w[:-1].astype(float) + w[-1])
+    odds = [np.exp(3 * margin(w)) for w in model.family_weights]
+    family = int(np.argmax(odds))
+    members, share = model.families[family], odds[family] / sum(odds)
+    if len(members) == 1:
+        return members[0], share
+    votes = Counter()
+    for (a, b), w in zip(model.pairs, model.pair_weights):
+        if a in members:
+            for_a = 1 / (1 + np.exp(-3 * max(-10, min(10, margin(w)))))
+            votes[a] += for_a
+            votes[b] += 1 - for_a
+    best = max(members, key=votes.get)
+    return best, share * votes[best] / (len(members) - 1)
+
+
+def test_query_equals_plain_votes(spark):
+    """The whole result, from grams counted one by one."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    learned = language.train(docs)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in queries.op9_language_id(spark, DATA).collect()}
+    wanted = {i: plain_vote(text, learned) for i, text in texts.items()}
+    assert {i: p for i, (p, _) in got.items()} == {i: p for i, (p, _) in wanted.items()}
+    assert np.allclose([got[i][1] for i in texts], [wanted[i][1] for i in texts], rtol=1e-6, atol=1e-9)
+
+
+def test_held_out_languages_teach_nothing(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    other = docs.withColumn("lang", F.when(held, "xx").otherwise(F.col("lang"))).withColumn("source", F.lit("s"))
+    rows = lambda d: sorted(language.identify(d).collect())
+    assert rows(docs) == rows(other)
+
+
 def test_machine_separates_and_ignores_the_number_of_rows():
     rng = np.random.default_rng(2)
     x = np.vstack([rng.normal(1, 1, (900, 5)), rng.normal(-1, 1, (60, 5))])

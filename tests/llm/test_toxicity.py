@@ -24,6 +24,41 @@ def test_fold_range_and_decision(spark):
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
 
 
+def plain_score(text, m):
+    """From the terms of each word one by one, and the products of all pairs."""
+    found = set()
+    for word in (text or "").lower().split():
+        word = word.strip(toxicity._EDGES)
+        if word:
+            found.add("w" + word)
+            found.update(f"{n}{word[:n]}" for n in (3, 4, 5) if len(word) > n)
+    hashes = {zlib.crc32(t.encode()) for t in found}
+    at = [i for i, t in enumerate(m.terms.tolist()) if t in hashes]
+    products = m.factors[at] @ m.factors[at].T
+    margin = m.bias + m.linear[at].sum() + np.triu(products, 1).sum()
+    return 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
+
+
+def test_query_equals_plain_sums_over_pairs(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    m = toxicity.train(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r.score for r in queries.op1_toxicity(spark, DATA).collect()}
+    assert got.keys() == texts.keys() and len(m.terms) >= toxicity.FREQUENT
+    assert np.allclose([got[i] for i in texts], [plain_score(t, m) for t in texts.values()], rtol=1e-6, atol=1e-9)
+
+
+def test_held_out_labels_languages_and_sources_teach_nothing(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    flipped = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    other = docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit("s"))
+    rows = lambda d, of: {r.doc_id: r.score for r in toxicity.toxicity(d, of).collect()}
+    one, two = rows(docs, labels), rows(other, flipped)
+    assert flipped.exceptAll(labels).count() == labels.filter(held & F.col("toxic").isNotNull()).count() > 0
+    assert np.allclose([one[i] for i in one], [two[i] for i in one], rtol=1e-9, atol=1e-12)
+
+
 def test_margin_is_the_sum_over_all_pairs():
     rng = np.random.default_rng(3)
     m = toxicity.FactorizationMachine(np.arange(9), 0.3, rng.normal(size=9), rng.normal(size=(9, 4)))
