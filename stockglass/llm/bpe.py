@@ -6,16 +6,18 @@ the leftmost. A sequence of tokens is what these merges give exactly if that hol
 for every two neighbours alone, as a merge across a boundary depends on the tokens
 at its two sides only. So no merge is carried out on a piece:
 
-* Its bytes, as Latin-1 characters, pass an Aho-Corasick automaton once, which
-  gives the longest token that starts at each byte.
-* From the first byte on the longest token is taken that may stand beside the one
-  before it; next come the tokens that are beginnings of it. Where none may follow,
-  the position is dead and the search goes back by one token.
+* From the first of its bytes, as Latin-1 characters, on the longest token is taken
+  that may stand beside the one before it; next come the tokens that are beginnings of
+  it. Where none may follow, the position is dead and the search goes back by one token.
+* A trie of the tokens tells how far the bytes at a position go on as the beginning of
+  a token, and a table of all beginnings the longest token in each. Only positions that
+  the search comes to are looked up.
 
 The tokens taken are always the one encoding of the bytes before, so a dead
 position is dead for good and each is left at most once. Whether two tokens may be
 neighbours follows from how merges build each of them, and is remembered, as are the
 ids of pieces. A piece that is a token is that token, whatever merges would give.
+The tables of a vocabulary, and what is remembered, serve all tasks of a Python worker.
 
 Cases: null and empty texts have no ids and decode to no bytes. Texts and pieces
 are encoded whole, of any length, in memory proportional to one text. Special
@@ -30,6 +32,7 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -39,7 +42,7 @@ from pyspark.sql import types as T
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-REMEMBERED = 200_000  # pieces a task remembers at a time, twice
+REMEMBERED = 200_000  # pieces an encoder remembers at a time, twice
 PAIRS = 500_000  # pairs of tokens it remembers at a time
 _NEVER = float("inf")
 
@@ -75,13 +78,17 @@ class Encoder:
             raise ValueError(f"no token for byte {missing[0]}")
         self.texts = {rank: token for token, rank in self.ranks.items()}
         self.histories: dict[int, tuple[list[float], list[str], list[str]]] = {}
-        self.automaton = ahocorasick.Automaton()
-        for token, rank in self.ranks.items():
-            if self._history(rank) is not None:
-                self.automaton.add_word(token, rank)
-        self.lengths = {rank: len(token) for token, rank in self.ranks.items()}
-        self.shorter = {rank: self._beginning(token) for token, rank in self.ranks.items()}
-        self.automaton.make_automaton()
+        built = {token: rank for token, rank in self.ranks.items() if self._history(rank) is not None}
+        self.trie = ahocorasick.Automaton()
+        self.reach: dict[str, int] = {}  # the longest token in each beginning of one
+        for token, rank in built.items():
+            self.trie.add_word(token, rank)
+            longest = -1
+            for n in range(1, len(token) + 1):
+                longest = self.reach[token[:n]] = built.get(token[:n], longest)
+        self.widest = max(map(len, built))
+        self.lengths = {rank: len(token) for token, rank in built.items()}
+        self.shorter = {rank: self.reach.get(token[:-1], -1) for token, rank in built.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # pieces remembered before the last REMEMBERED
@@ -102,13 +109,6 @@ class Encoder:
             known = self.histories[rank] = [*steps, _NEVER], firsts, lasts
         return known
 
-    def _beginning(self, token: str) -> int:
-        """The longest token merges build that the token begins with, else -1."""
-        for n in range(len(token) - 1, 0, -1):
-            if self.automaton.exists(token[:n]):
-                return self.ranks[token[:n]]
-        return -1
-
     def _apart(self, before: int, token: int) -> bool:
         """Whether the merges of the two together end in the two."""
         (l_steps, _, lasts), (r_steps, firsts, _) = self._history(before), self._history(token)
@@ -127,44 +127,47 @@ class Encoder:
 
     def merged(self, piece: str) -> list[int]:
         """The tokens of a piece given as Latin-1 characters."""
-        lengths, shorter, pairs = self.lengths, self.shorter, self.pairs
-        longest = array("i", bytes(4 * len(piece)))
-        for last, token in self.automaton.iter(piece):
-            longest[last - lengths[token] + 1] = token  # longer ones end later
+        lengths, shorter, reach, pairs = self.lengths, self.shorter, self.reach, self.pairs
+        walk, widest = self.trie.longest_prefix, self.widest
         dead = bytearray(len(piece) + 1)
         found: list[int] = []
-        at, token = 0, longest[0]
+        at, before = 0, -1
+        ahead = piece[:widest]
+        token = reach[ahead[: walk(ahead)]]
         while True:
             while token >= 0:
                 end = at + lengths[token]
                 if not dead[end]:
-                    if not found:
+                    if before < 0:
                         break
-                    pair = found[-1], token
+                    pair = before, token
                     apart = pairs.get(pair)
                     if apart is None:
                         if len(pairs) >= PAIRS:
                             pairs.clear()
-                        apart = pairs[pair] = self._apart(*pair)
+                        apart = pairs[pair] = self._apart(before, token)
                     if apart:
                         break
                 token = shorter[token]
             if token < 0:
                 dead[at] = 1
                 token = found.pop()
+                before = found[-1] if found else -1
                 at -= lengths[token]
+                token = shorter[token]
                 continue
             found.append(token)
-            at = end
-            if at == len(piece):
+            if end == len(piece):
                 return found
-            token = longest[at]
+            at, before = end, token
+            ahead = piece[at : at + widest]
+            token = reach[ahead[: walk(ahead)]]
 
     def _piece(self, piece: str) -> bytes:
         """The ids of a piece, four bytes each."""
         ids = self.older.get(piece)
         if ids is None:
-            latin = piece.encode("utf-8", "surrogatepass").decode("latin-1")
+            latin = piece if piece.isascii() else piece.encode("utf-8", "surrogatepass").decode("latin-1")
             whole = self.ranks.get(latin)
             ids = array("i", self.merged(latin) if whole is None else [whole]).tobytes()
         if len(self.pieces) >= REMEMBERED:
@@ -180,17 +183,37 @@ class Encoder:
         return np.frombuffer(b"".join(parts), np.int32)
 
 
-def _shared(df: DataFrame, path: str):
-    return df.sparkSession.sparkContext.broadcast(load_ranks(path))  # the vocabulary's tokens
+class Vocabulary:
+    """Tokens as the driver reads them. What follows from them a Python worker makes
+    once, and keeps as long as the broadcast."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
+        self.ranks, self.pattern = ranks, pattern
+
+    @cached_property
+    def encoder(self) -> Encoder:
+        return Encoder(self.ranks, self.pattern)
+
+    @cached_property
+    def tokens(self) -> dict[int, bytes]:
+        return {rank: token for token, rank in self.ranks.items()}
+
+    @cached_property
+    def decimals(self) -> dict[int, str]:
+        return {rank: str(rank) for rank in self.tokens}
+
+
+def _shared(df: DataFrame, path: str, pattern: str = PATTERN):
+    return df.sparkSession.sparkContext.broadcast(Vocabulary(load_ranks(path), pattern))
 
 
 def encoded(docs: DataFrame, path: str = RANKS, pattern: str = PATTERN) -> DataFrame:
     """doc_id, ids."""
-    shared = _shared(docs, path)
+    shared = _shared(docs, path, pattern)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(shared.value, pattern)
+        encoder = shared.value.encoder
         for batch in texts:
             yield pd.Series([encoder(t) for t in batch], dtype=object)
 
@@ -203,7 +226,7 @@ def decoded(rows: DataFrame, path: str = RANKS) -> DataFrame:
 
     @F.pandas_udf(T.BinaryType())
     def decode(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        texts = {rank: token for token, rank in shared.value.items()}
+        texts = shared.value.tokens
         for batch in lists:
             found = [None if ids is None else b"".join(map(texts.__getitem__, ids)) for ids in batch]
             yield pd.Series(found, dtype=object)
@@ -214,12 +237,10 @@ def decoded(rows: DataFrame, path: str = RANKS) -> DataFrame:
 def digests(docs: DataFrame, path: str = RANKS, pattern: str = PATTERN) -> DataFrame:
     """doc_id, n_tokens, and SHA-256 of the ids as decimal text and of the bytes they
     decode to. Both ways in one pass, so ids do not travel."""
-    shared = _shared(docs, path)
+    shared = _shared(docs, path, pattern)
 
     def both_ways(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(shared.value, pattern)
-        tokens = {rank: token for token, rank in shared.value.items()}
-        decimals = {rank: str(rank) for rank in tokens}
+        encoder, tokens, decimals = shared.value.encoder, shared.value.tokens, shared.value.decimals
         for batch in batches:
             rows = []
             for text in batch:

@@ -1,5 +1,7 @@
 import hashlib
+import os
 import random
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stockglass.llm import bpe, queries
 from tests.llm.conftest import DATA
+from tests.llm.counting import CountedRanks
 
 FILES = ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"]
 
@@ -119,3 +122,35 @@ def test_cases(spark, documents):
     assert digest[1][1:] == digest[2][1:] == (0, empty, empty)
     assert bpe.digests(documents([])).collect() == []
     assert bpe.encoded(documents([])).collect() == []
+
+
+def test_tasks_of_a_worker_share_the_tables(spark, documents, tmp_path, monkeypatch):
+    """A worker goes through the vocabulary once for ids and once for bytes, whatever tasks it gets."""
+    log = tmp_path / "passes"
+    counted = CountedRanks(RANKS[FILES[0]])
+    counted.log = str(log)
+    monkeypatch.setattr(bpe, "load_ranks", lambda path: counted)
+    texts = [f"there {i} zthing internazionally" for i in range(24)]
+    docs = documents(list(enumerate(texts))).repartition(24)
+    assert docs.rdd.getNumPartitions() == 24
+    got = {r.doc_id: r.n_tokens for r in bpe.digests(docs).collect()}
+    assert got == {i: len(MODELS[FILES[0]].encode_ordinary(t)) for i, t in enumerate(texts)}
+    passes = Counter(log.read_text().split())
+    del passes[str(os.getpid())]
+    assert passes and max(passes.values()) == 2
+
+
+def test_only_positions_of_the_search_are_looked_up():
+    """The bytes inside a token that is taken are not."""
+    encoder = bpe.Encoder(RANKS[FILES[0]])
+    starts = []
+
+    class Counted(dict):
+        def __getitem__(self, beginning):
+            starts.append(beginning)
+            return dict.__getitem__(self, beginning)
+
+    encoder.reach = Counted(encoder.reach)
+    piece = " " * 8 + "=" * 64
+    assert encoder.merged(piece) == plain(piece.encode(), RANKS[FILES[0]])
+    assert len(starts) < len(piece) // 4
